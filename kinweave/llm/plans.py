@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.llm import plans_leaks, plans_tables
+from kinweave.llm import plans_languages, plans_leaks, plans_tables
 
-MODULES = (plans_tables, plans_leaks)
+MODULES = (plans_tables, plans_leaks, plans_languages)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
