@@ -1,0 +1,46 @@
+"""Sorted neighbourhoods over any number of tasks.
+
+Rows are range-partitioned on their key by sampled quantiles, numbered through
+from the sizes of the partitions, and dealt to blocks of equal length that
+overlap by the window, so that every pair of rows at most window apart meets in
+exactly one block and no key, however frequent, makes a block longer.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from kinweave.session import cut, partitions
+
+
+def in_blocks(df: DataFrame, order: list[str], window: int, compare: Callable[[pd.DataFrame, int], pd.DataFrame], schema: str, block: int = 4000) -> DataFrame:
+    """compare(rows, n_own) of every block, whose rows come in order; pairs whose first row is among the first n_own are this block's own.
+
+    Fewer than two rows give what compare gives for them. order must be a total order (end it with an id).
+    """
+    ranged = df.repartitionByRange(partitions(df.sparkSession), *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = cut(ranged)
+    part = F.shiftright("_at", 33)
+    sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}  # one row for each partition
+    if not sizes:
+        return df.sparkSession.createDataFrame([], schema)
+    base, total = [], 0
+    for p in range(max(sizes) + 1):
+        base.append(total)
+        total += sizes.get(p, 0)
+    pos = F.element_at(F.array(*[F.lit(b).cast("long") for b in base]), (part + 1).cast("int")) + F.col("_at").bitwiseAND((1 << 33) - 1)
+    own = F.floor(F.col("_pos") / block).cast("long")
+    # the first rows of a block are also the last of the block before
+    to = F.when((F.col("_pos") % block < window) & (F.col("_pos") >= block), F.array(own, own - 1)).otherwise(F.array(own))
+    dealt = placed.withColumn("_pos", pos).drop("_at").withColumn("_block", F.explode(to))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_pos", ignore_index=True)
+        n_own = int((pdf["_pos"] // block == pdf["_block"]).sum())
+        return compare(pdf, n_own)
+
+    return dealt.groupBy("_block").applyInPandas(run, schema)
