@@ -1,0 +1,109 @@
+"""How alike two business records are, field by field, from the readings of records.with_fields."""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+from kinweave.llm.places import TOWN, bare, same_place
+from kinweave.llm.records import osa, within
+
+COLUMNS = ["core", "lines", "acronym", "initials", "number", "kind", "street", "town", "postal", "area", "country"]
+NO_TOWN = (0,) * (len(TOWN) - 1) + ("",)
+
+
+@lru_cache(1 << 17)
+def token_likeness(a: str, b: str) -> float:
+    if a == b:
+        return 1.0
+    if len(a) == 1 or len(b) == 1:
+        return 0.75 if a[0] == b[0] else 0.0
+    if within(a, b):
+        return 0.93
+    if len(a) >= 3 and len(b) >= 3 and a[0] == b[0] and (bare(a) == b or a == bare(b) or (bare(a) == bare(b) and len(bare(a)) >= 3)):
+        return 0.9
+    d = osa(a, b, 3)
+    n = max(len(a), len(b))
+    return 1 - d / n if d <= 3 and d <= 0.4 * n else 0.0
+
+
+def aligned(x: list[str], y: list[str]) -> float:
+    """Likeness of two word lists in any order, words weighted by their letters; an initial weighs as much as half the word it stands for."""
+    pairs = sorted(((token_likeness(a, b), len(a) + len(b), i, j) for i, a in enumerate(x) for j, b in enumerate(y)), reverse=True)
+    left, right, got, weight = set(range(len(x))), set(range(len(y))), 0.0, 0.0
+    for s, _, i, j in pairs:
+        if s > 0 and i in left and j in right:
+            left.discard(i)
+            right.discard(j)
+            w = max(len(x[i]), len(y[j])) * (0.5 if min(len(x[i]), len(y[j])) == 1 else 1.0)
+            got += s * w
+            weight += w
+    weight += sum(max(2, len(x[i])) for i in left) + sum(max(2, len(y[j])) for j in right)
+    return got / weight if weight else 0.0
+
+
+def written(a: str, b: str) -> float:
+    """Likeness of two names written without blanks."""
+    if a == b:
+        return 1.0
+    n = max(len(a), len(b))
+    d = osa(a, b, 4)
+    return 1 - d / n if d <= 4 else 0.0
+
+
+@lru_cache(1 << 17)
+def name_likeness(core_a: str, acr_a: str, ini_a: str, core_b: str, acr_b: str, ini_b: str) -> tuple[float, bool]:
+    """(likeness from 0 to 1, whether it rests on initials only)."""
+    if not core_a or not core_b:
+        return 0.0, False
+    if core_a == core_b:
+        return 1.0, bool(acr_a)
+    if acr_a or acr_b:
+        a, b = (acr_a or ini_a), (acr_b or ini_b)
+        if a == b:
+            return 0.85, True
+        if min(len(a), len(b)) >= 2 and abs(len(a) - len(b)) == 1 and (a.startswith(b) or b.startswith(a)):
+            return 0.75, True
+        if len(a) == len(b) >= 3 and sorted(a) == sorted(b):
+            return 0.7, True
+        if acr_a and acr_b:
+            return 0.0, True
+        # initials of the parts of a name that the other side writes as one word
+        if acr_a != acr_b and min(len(a), len(b)) >= 2 and a[0] == b[0] and a[-1] == b[-1] and len(set(a) ^ set(b)) <= 1:
+            return 0.7, True
+    x, y = core_a.split(), core_b.split()
+    return max(aligned(x, y), written("".join(x), "".join(y)), written("".join(sorted(x)), "".join(sorted(y)))), False
+
+
+def agreement(a: str, b: str, sep: str) -> float:
+    """1 the same, 0 different, 0.5 unknown."""
+    if not a or not b:
+        return 0.5
+    return 1.0 if set(a.split(sep)) & set(b.split(sep)) else 0.0
+
+
+def lines_agree(a: str, b: str) -> float:
+    return agreement(a.replace(",", "|"), b.replace(",", "|"), "|")
+
+
+def place_agrees(a: dict, b: dict) -> float:
+    """1 the same building, 0 another, 0.5 where one has no number or street."""
+    if not (a["number"] and a["street"] and b["number"] and b["street"]):
+        return 0.5
+    x, y = (tuple(r[c] for c in ("number", "kind", "street", "town", "postal", "area")) + NO_TOWN for r in (a, b))
+    return float(same_place(x, y))
+
+
+def likeness(a: dict, b: dict) -> tuple[float, float, bool, float, float, float]:
+    """(score, name, by initials, line, country, place). The score is 0 where line or country contradict; a shared place supports a
+    worn name, another place asks for a whole one, and initials alone prove nothing without a shared place."""
+    name, short = name_likeness(a["core"], a["acronym"], a["initials"], b["core"], b["acronym"], b["initials"])
+    line, country, place = lines_agree(a["lines"], b["lines"]), agreement(a["country"], b["country"], "|"), place_agrees(a, b)
+    if line == 0 or country == 0 or name == 0:
+        score = 0.0
+    elif place == 1:
+        score = 0.55 + 0.45 * name if name >= 0.45 else name
+    elif short:
+        score = 0.3 * name
+    else:
+        score = name - (0.04 if line == 0.5 else 0.0) - (0.03 if place == 0 else 0.0)
+    return score, name, short, line, country, place

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.llm.places import same_building_records
-from kinweave.session import read_table
+from kinweave.llm.records import with_fields
+from kinweave.llm.variants import same_business
+from kinweave.session import cut, read_table
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -14,5 +16,10 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("a").alias("entity_id_a"), F.col("b").alias("entity_id_b"))
 
 
-QUERIES = {"p5_found": p5_found}
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = same_business(cut(with_fields(read_table(spark, d, "train_source1"))))
+    return pairs.select(F.col("a").alias("entity_id_a"), F.col("b").alias("entity_id_b"))
+
+
+QUERIES = {"p5_found": p5_found, "p7_found": p7_found}
 SQL: dict[str, str] = {}
