@@ -33,14 +33,28 @@ def positions(text: Column, bits: int) -> Column:
     return F.when(text != "", F.array_sort(F.array_distinct(F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(bits)).cast("int"))))).otherwise(F.array().cast("array<int>"))
 
 
+def only(pos: Column, keep) -> Column:
+    """The positions for which keep holds; a function of one argument, since a second would be the index."""
+    return F.filter(pos, lambda p: keep(p))
+
+
 def words_of(pos: Column, bits: int) -> Column:
     """The bit vector as an array of 64-bit words."""
-    return F.array(*[F.aggregate(F.filter(pos, lambda p, k=k: F.floor(p / 64) == k), F.lit(0).cast("long"), lambda acc, p: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (p % 64).cast("int")))) for k in range(bits // 64)])
+
+    def word(k: int) -> Column:
+        mine = only(pos, lambda p: F.floor(p / 64) == k)
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda acc, p: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (p % 64).cast("int"))))
+
+    return F.array(*[word(k) for k in range(bits // 64)])
 
 
 def keys(pos: Column, chunks: int, prefix: Column) -> Column:
     """One key for every two chunks."""
-    part = [F.xxhash64(F.filter(pos, lambda p, k=k: p % chunks == k)) for k in range(chunks)]
+
+    def chunk(k: int) -> Column:
+        return F.xxhash64(only(pos, lambda p: p % chunks == k))
+
+    part = [chunk(k) for k in range(chunks)]
     return F.array(*[F.xxhash64(F.lit(f"{chunks}:{i}:{j}"), prefix, part[i], part[j]) for i, j in combinations(range(chunks), 2)])
 
 
@@ -71,12 +85,12 @@ def close_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         q = y.select(*cols, F.explode(keys(F.col(pos), chunks, prefix)).alias("key")).withColumnsRenamed({"rid": "b", bits_col: "q"})
         return p.join(q, "key").where(hamming("p", "q", bits) <= chunks - 2).select("a", "b")
 
-    parts = [meet(left.where("number <> '' AND street <> ''"), right.where("number <> '' AND street <> ''"), "road_pos", "road_bits", STREET_BITS, 6, ["number", "kind"])]
+    parts = [meet(left.where("number <> '' AND street <> ''"), right.where("number <> '' AND street <> ''"), "road_pos", "road_bits", STREET_BITS, 8, ["number", "kind"])]
     lx, ly = left.where("core <> ''"), right.where("core <> ''")
     full = single("lines") & single("country")
-    parts.append(meet(lx.where(full), ly.where(full), "name_pos", "name_bits", NAME_BITS, 7, ["lines", "country"]))
-    parts.append(meet(lx.where(~full), ly, "name_pos", "name_bits", NAME_BITS, 5, []))
-    parts.append(meet(lx.where(full), ly.where(~full), "name_pos", "name_bits", NAME_BITS, 5, []))
+    parts.append(meet(lx.where(full), ly.where(full), "name_pos", "name_bits", NAME_BITS, 9, ["lines", "country"]))
+    parts.append(meet(lx.where(~full), ly, "name_pos", "name_bits", NAME_BITS, 7, []))
+    parts.append(meet(lx.where(full), ly.where(~full), "name_pos", "name_bits", NAME_BITS, 7, []))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
