@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.llm import plans_languages, plans_leaks, plans_mixing, plans_records, plans_tables
+from kinweave.llm import plans_languages, plans_leaks, plans_mixing, plans_records, plans_tables, plans_vectors
 
-MODULES = (plans_tables, plans_records, plans_leaks, plans_mixing, plans_languages)
+MODULES = (plans_tables, plans_vectors, plans_records, plans_leaks, plans_mixing, plans_languages)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
