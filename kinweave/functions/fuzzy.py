@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -80,7 +81,7 @@ def partial_ratio(a: str, b: str) -> float:
 FUZZY = ["name_levenshtein", "name_token_sort", "name_token_set", "name_partial", "addr_levenshtein", "addr_token_sort", "addr_token_set"]
 
 
-@F.pandas_udf(", ".join(f"{f} double" for f in FUZZY))
+@F.pandas_udf(T.StructType([T.StructField(f, T.DoubleType()) for f in FUZZY]))
 def _fuzzy(n1: pd.Series, n2: pd.Series, a1: pd.Series, a2: pd.Series) -> pd.DataFrame:
     seen: dict[tuple[int, str, str], tuple] = {}  # equal pairs of strings are frequent in a batch
 

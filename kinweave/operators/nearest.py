@@ -85,7 +85,7 @@ def flat_search(queries: DataFrame, base: DataFrame, k: int, on: list[str], bloc
         left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1].sort_values("rid")
         cols = [*on, "left_id", "right_id", "score"]
         if not len(left) or not len(right):
-            return pd.DataFrame({c: [] for c in cols})
+            return pd.DataFrame({c: pd.Series(dtype=float if c == "score" else pdf[c if c in on else "rid"].dtype) for c in cols})
         y = np.stack(right["vec"].to_numpy()).astype(np.float64)
         ids = right["rid"].to_numpy()
         out = []
@@ -158,7 +158,7 @@ def ivf_search(queries: DataFrame, base: DataFrame, k: int, on: list[str], train
         left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1].sort_values("rid")
         cols = [*on, "left_id", "right_id", "score"]
         if not len(left) or not len(right):
-            return pd.DataFrame({c: [] for c in cols})
+            return pd.DataFrame({c: pd.Series(dtype=float if c == "score" else pdf[c if c in on else "rid"].dtype) for c in cols})
         y, ids = np.stack(right["vec"].to_numpy()).astype(np.float64), right["rid"].to_numpy()
         x, who = np.stack(left["vec"].to_numpy()).astype(np.float64), left["rid"].to_numpy()
         m = min(k, len(ids))

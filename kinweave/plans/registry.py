@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.plans import skew
+from kinweave.plans import matching, skew
 
-FLAGSHIP = "p4_country_profile"
-MODULES = (skew,)
+FLAGSHIP = "generate_candidates"
+MODULES = (matching, skew)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
