@@ -26,39 +26,39 @@ def _key(scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def robust_prune(x: np.ndarray, nodes: np.ndarray, cand: np.ndarray, degree: int, alpha: float) -> np.ndarray:
-    """(nodes, degree) edges chosen from cand (nodes, c), -1 where there are fewer. Distances are 1 - cosine."""
+    """(nodes, degree) edges chosen from cand (nodes, c), -1 where there are fewer. Distances are 1 - cosine.
+
+    A candidate listed twice falls with its first mention, at distance 0 from it.
+    """
     n, c = cand.shape
-    safe = np.maximum(cand, 0)
-    vec = x[safe]
-    sim = np.matmul(vec, x[nodes][:, :, None])[:, :, 0]
-    sim[(cand < 0) | (cand == nodes[:, None])] = -2
-    order = np.argsort(-sim, axis=1, kind="stable")
-    safe, sim = np.take_along_axis(safe, order, 1), np.take_along_axis(sim, order, 1)
-    twice = np.zeros_like(sim, bool)
-    twice[:, 1:] = safe[:, 1:] == safe[:, :-1]
-    sim[twice] = -2
-    vec = np.take_along_axis(vec, order[:, :, None], 1)
-    near = 1 - np.matmul(vec, vec.transpose(0, 2, 1))  # candidate to candidate
-    far = 1 - sim
-    alive = sim > -2
+    vec = x[np.maximum(cand, 0)]
+    far = 1 - np.matmul(vec, x[nodes][:, :, None])[:, :, 0]
+    near = np.matmul(vec, vec.transpose(0, 2, 1))  # candidate to candidate
+    np.subtract(1, near, out=near)
+    near *= alpha
+    far[(cand < 0) | (cand == nodes[:, None])] = np.inf
+    left = far.copy()
     out = np.full((n, degree), -1, np.int32)
     rows = np.arange(n)
     for k in range(degree):
-        first = alive.argmax(axis=1)
-        some = alive[rows, first]
+        first = left.argmin(axis=1)
+        some = np.isfinite(left[rows, first])
         if not some.any():
             break
-        out[some, k] = safe[rows[some], first[some]]
-        alive &= alpha * near[rows, first] > far
-        alive[rows, first] = False
+        out[some, k] = cand[rows[some], first[some]]
+        left[near[rows, first] <= far] = np.inf
+        left[rows, first] = np.inf
     return out
 
 
 class Graph:
-    def __init__(self, x: np.ndarray, degree: int = 20, beam: int = 20, alpha: float = 1.2, seed: int = 0):
-        self.x, self.degree = np.ascontiguousarray(x, F32), degree
+    """Nodes keep up to slots edges; one that would get more is pruned to degree."""
+
+    def __init__(self, x: np.ndarray, degree: int = 14, slots: int = 24, beam: int = 16, alpha: float = 1.2, seed: int = 0):
+        self.x, self.degree, self.slots = np.ascontiguousarray(x, F32), degree, slots
         n = len(x)
-        self.edges = np.full((n, degree), -1, np.int32)
+        self.edges = np.full((n, slots), -1, np.int32)
+        self.fill = np.zeros(n, np.int32)
         order = np.random.default_rng(seed).permutation(n).astype(np.int32)
         marks = min(n, max(16, int(2 * np.sqrt(n))))
         self.marks = order[:marks]
@@ -76,28 +76,44 @@ class Graph:
             part = batch[lo : lo + 512]
             own = self.x[part] @ self.x[batch].T
             own[np.arange(len(part)), lo + np.arange(len(part))] = -2
-            cand = batch[_key(own, min(self.degree, len(batch)))]
+            cand = batch[_key(own, min(self.degree // 2 if found is not None else 2 * self.degree, len(batch)))]
             if found is not None:
                 cand = np.concatenate([found[lo : lo + 512], cand], axis=1)
-            self.edges[part] = robust_prune(self.x, part, cand, self.degree, alpha)
+            chosen = robust_prune(self.x, part, cand, self.degree, alpha)
+            self.edges[part, : self.degree] = chosen
+            self.fill[part] = (chosen >= 0).sum(axis=1)
         a = np.repeat(batch, self.degree)
-        b = self.edges[batch].ravel()
+        b = self.edges[batch, : self.degree].ravel()
         a, b = a[b >= 0], b[b >= 0]
-        # back edges: the nearest come first, and at most one list's length is offered to a node at a time
-        sim = np.einsum("ij,ij->i", self.x[a], self.x[b])
-        order = np.lexsort((-sim, b))
+        if not len(b):
+            return
+        # back edges: the nearest come first, and at most slots of them are offered to a node at a time
+        order = np.lexsort((-np.einsum("ij,ij->i", self.x[a], self.x[b]), b))
         a, b = a[order], b[order]
-        head = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else np.zeros(0, int)
-        place = np.arange(len(b)) - np.repeat(head, np.diff(np.append(head, len(b))))
-        keep = place < self.degree
+        first = np.concatenate([[True], b[1:] != b[:-1]])
+        head, row = np.flatnonzero(first), np.cumsum(first) - 1
+        place = np.arange(len(b)) - head[row]
         nodes = b[head]
-        row = np.cumsum(np.concatenate([[True], b[1:] != b[:-1]])) - 1 if len(b) else np.zeros(0, int)
-        more = np.full((len(nodes), self.degree), -1, np.int32)
-        more[row[keep], place[keep]] = a[keep]
-        for lo in range(0, len(nodes), 1024):
-            q = nodes[lo : lo + 1024]
-            cand = np.concatenate([self.edges[q], more[lo : lo + 1024]], axis=1)
-            self.edges[q] = robust_prune(self.x, q, cand, self.degree, alpha)
+        more = np.bincount(row, minlength=len(nodes))
+        room = self.fill[nodes] + more <= self.slots
+        fits = room[row]
+        self.edges[b[fits], self.fill[b[fits]] + place[fits]] = a[fits]
+        self.fill[nodes[room]] += more[room]
+        full = np.flatnonzero(~room)
+        if not len(full):
+            return
+        number = np.full(len(nodes), -1)
+        number[full] = np.arange(len(full))
+        offered = np.full((len(full), self.slots), -1, np.int32)
+        take = ~fits & (place < self.slots)
+        offered[number[row[take]], place[take]] = a[take]
+        for lo in range(0, len(full), 512):
+            q = nodes[full[lo : lo + 512]]
+            wide = int(min(self.slots, more[full[lo : lo + 512]].max()))
+            chosen = robust_prune(self.x, q, np.concatenate([self.edges[q], offered[lo : lo + 512, :wide]], axis=1), self.degree, alpha)
+            self.edges[q] = -1
+            self.edges[q, : self.degree] = chosen
+            self.fill[q] = (chosen >= 0).sum(axis=1)
 
     def search(self, q: np.ndarray, k: int, beam: int = 16, wide: int = 4, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
         """(ids, cosines) of the k nearest found for each query, best first; -1 and -2 where there are fewer."""

@@ -15,8 +15,8 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -36,85 +36,101 @@ def centroids_of(sample: np.ndarray, k: int, rounds: int = 8, seed: int = 0) ->
     return c
 
 
-def nodes_of(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, rid, vec): unit vectors as doubles; an id that comes again counts once. Null ids, null, empty and all-zero vectors and such with null, NaN or infinite numbers are dropped, as are vectors of another than the commonest length."""
-    v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
-    sound = F.forall(F.col("v"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e300))
-    rows = df.select(F.col(id_col).alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(sound & (F.size("v") > 0))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    rows = rows.withColumn("n", norm).where("n > 0").select("id", F.transform("v", lambda x: x / F.col("n")).alias("vec"))
-    one = rows.groupBy("id").agg(F.min("vec").alias("vec")).withColumn("rid", F.xxhash64(F.transform("vec", lambda x: F.round(x, 9))))
-    length = one.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    return one.where(F.size("vec") == (length["dim"] if length else 0)).select("id", "rid", "vec")
+def usable(vec: str, dim: int) -> Column:
+    """Vectors of the length dim that are sound: no null, NaN or infinite number, and not all zero."""
+    v = F.col(vec)
+    return v.isNotNull() & (F.size(v) == dim) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e18)) & F.exists(v, lambda x: x != 0)
 
 
 def similar(
-    df: DataFrame, k: int = 10, min_cosine: float | None = None, id_col: str = "entity_id", vec_col: str = "vec", shard_size: int = 12_000, sample_size: int = 20_000, margin: float | None = 0.12, degree: int = 20, beam: int = 20
-) -> DataFrame:
+    df: DataFrame, k: int = 10, min_cosine: float | None = None, id_col: str = "entity_id", vec_col: str = "vec", shard_size: int = 12_000, sample_size: int = 20_000, margin: float | None = 0.1, beam: int = 16
+) -> DataFrame:
     """(id, other, cosine, rank): for each id the k most similar other ids found, best first, ties by the smaller other id.
 
     Approximate: see the README for the recall measured against brute force. min_cosine drops less similar ones. An
-    id that comes again counts once (by its least vector); null, all-zero and unsound vectors take no part. Exact
-    copies have cosine 1. Fewer than two usable vectors give no rows.
+    id that comes again counts once, with the vector of least hash; null ids, and null, all-zero and unsound vectors and
+    those of another than the commonest length, take no part. Equal vectors have cosine 1. Fewer than two usable
+    vectors give no rows. Other columns, whatever their names, play no part.
     """
     spark = df.sparkSession
-    nodes = cut(nodes_of(df, id_col, vec_col))
-    id_type = dict(nodes.dtypes)["id"]
-    reps = cut(nodes.groupBy("rid").agg(F.min("vec").alias("vec")))
-    n = reps.count()
-    if n == 0:
+    id_type = df.schema[id_col].dataType.simpleString()
+    rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>").alias("vec")).where("id IS NOT NULL AND vec IS NOT NULL")
+    lengths = rows.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
+    if lengths is None or not lengths["dim"]:
         return spark.createDataFrame([], f"id {id_type}, other {id_type}, cosine double, rank int")
-    sample = np.array([r["vec"] for r in reps.orderBy(F.xxhash64("rid"), "rid").limit(sample_size).collect()])
-    cents = centroids_of(sample, min(len(sample), math.ceil(n / shard_size)))
-    held = spark.sparkContext.broadcast(cents)
-
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = held.value
-        gap = np.maximum(np.linalg.norm(c[:, None] - c[None], axis=2), 1e-12)
-        for pdf in batches:
-            x = np.stack(pdf["vec"].to_numpy()) if len(pdf) else np.zeros((0, c.shape[1]))
+    sound = rows.where(usable("vec", lengths["dim"])).withColumn("rid", F.xxhash64("vec"))
+    # about sample_size vectors, drawn by hash, so that the driver's part does not grow
+    share = min(1.0, sample_size / lengths["count"])
+    drawn = sound.where(F.pmod(F.xxhash64("rid"), F.lit(1 << 30)) < int(share * (1 << 30))).select("rid", "vec").collect()
+    if not drawn:
+        drawn = sound.select("rid", "vec").limit(1).collect()
+    if not drawn:
+        return spark.createDataFrame([], f"id {id_type}, other {id_type}, cosine double, rank int")
+    sample = unit(np.array([r["vec"] for r in sorted(drawn)], np.float32)).astype(np.float64)
+    cents = centroids_of(sample, min(len(sample), math.ceil(lengths["count"] / shard_size)))
+    held_share = np.bincount((sample @ cents.T).argmax(axis=1), minlength=len(cents)) / len(sample)
+    # shards that the sample shows to be too large are split by hash
+    split = np.maximum(1, np.ceil(held_share * lengths["count"] / (2 * shard_size))).astype(np.int64)
+    gap = np.maximum(np.linalg.norm(cents[:, None] - cents[None], axis=2), 1e-12)
+    held = spark.sparkContext.broadcast((cents, split, gap))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c, split, gap = held.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rid = b.column("rid").to_numpy(zero_copy_only=False)
+            x = unit(b.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(len(rid), -1))
             sim = x @ c.T
+            at = np.arange(len(x))
             home = sim.argmax(axis=1)
-            rows = np.arange(len(x))
-            # distance to the border between the own shard and each other
-            near = (sim[rows, home][:, None] - sim) / gap[home] <= (np.inf if margin is None else margin)
-            near[rows, home] = True
-            yield pd.DataFrame({"rid": pdf["rid"], "vec": [v.astype(np.float32) for v in x], "home": home.astype(np.int32), "shards": [np.flatnonzero(m).astype(np.int32) for m in near]})
-
-    routed = cut(reps.mapInPandas(route, "rid long, vec array<float>, home int, shards array<int>"))
-    parts = {r["home"]: math.ceil(r["n"] / (2 * shard_size)) for r in routed.groupBy("home").agg(F.count("*").alias("n")).collect()}  # one row for each shard
-    pieces = F.element_at(F.create_map(*[F.lit(x) for kv in parts.items() for x in kv]), F.col("shard"))
-    data = routed.select("rid", "vec", F.col("home").alias("shard"), F.lit(True).alias("stored")).withColumn("piece", F.pmod(F.xxhash64("rid"), pieces).cast("int"))
-    asks = routed.select("rid", "vec", F.explode("shards").alias("shard"), F.lit(False).alias("stored")).where(F.col("shard").isin(*parts)).withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-
-    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["stored", "rid"], ignore_index=True)
-        x = np.stack(pdf["vec"].to_numpy()).astype(np.float32)
-        stored = pdf["stored"].to_numpy()
-        rid = pdf["rid"].to_numpy()
-        base, names, asked, who = x[stored], rid[stored], x[~stored], rid[~stored]
-        if not len(base) or not len(asked):
-            return pd.DataFrame({"rid": [], "other": [], "cosine": []})
-        found, _ = Graph(base, degree, beam).search(asked, k + 1, max(beam, k + 1))
+            # distance to the border between the own shard and each other one
+            near = (sim[at, home][:, None] - sim) / gap[home] <= (np.inf if margin is None else margin)
+            near[at, home] = True
+            piece = (rid.view(np.uint64) % split[home].astype(np.uint64)).astype(np.int64)
+            who, shard = np.nonzero(near)
+            n = split[shard]
+            who, shard = np.repeat(who, n), np.repeat(shard, n)
+            part = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
+            stored = (shard == home[who]) & (part == piece[who])
+            flat = pa.py_buffer(np.ascontiguousarray(x[who]).tobytes())
+            width = x.shape[1] * 4
+            vec = pa.Array.from_buffers(pa.binary(), len(who), [None, pa.py_buffer((np.arange(len(who) + 1) * width).astype(np.int32).tobytes()), flat])
+            yield pa.RecordBatch.from_arrays([pa.array(rid[who]), pa.array((shard * 1024 + part).astype(np.int32)), pa.array(stored), vec], ["rid", "shard", "stored", "vec"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        rid, stored = table.column("rid").to_numpy(), table.column("stored").to_numpy()
+        x = np.frombuffer(b"".join(table.column("vec").to_pylist()), np.float32).reshape(len(rid), -1)
+        # copies of one vector carry one number and are one node
+        rid, first = np.unique(rid, return_index=True)
+        x, stored = x[first], stored[first]
+        base, names = x[stored], rid[stored]
+        if not len(base):
+            return pa.table({"rid": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "cosine": pa.array([], pa.float64())})
+        found, _ = Graph(base, beam=beam).search(x, k + 1, max(beam, k + 1))
         rows, cols = np.nonzero(found >= 0)
-        a, b = who[rows], names[found[rows, cols]]
-        cos = np.einsum("ij,ij->i", asked[rows].astype(np.float64), base[found[rows, cols]].astype(np.float64))
+        a, b = rid[rows], names[found[rows, cols]]
+        cos = np.einsum("ij,ij->i", x[rows].astype(np.float64), base[found[rows, cols]].astype(np.float64))
         keep = a != b
         if min_cosine is not None:
-            keep &= cos >= min_cosine - 1e-6
-        return pd.DataFrame({"rid": a[keep], "other": b[keep], "cosine": cos[keep]})
-
-    found = data.unionByName(asks).groupBy("shard", "piece").applyInPandas(answer, "rid long, other long, cosine double")
-    best = W.partitionBy("rid").orderBy(F.desc("cosine"), "other")
-    near = found.distinct().withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k).select("rid", "other", "cosine")
+            keep &= cos >= min_cosine
+        return pa.table({"rid": a[keep], "other": b[keep], "cosine": cos[keep]})
+
+    tasks = min(int(split.sum()), 100_000)
+    dealt = sound.select("rid", "vec").mapInArrow(route, "rid long, shard int, stored boolean, vec binary")
+    found = cut(dealt.repartition(tasks, "shard").groupBy("shard").applyInArrow(answer, "rid long, other long, cosine double"))
+    near = found.withColumn("_n", F.row_number().over(W.partitionBy("rid").orderBy(F.desc("cosine"), "other"))).where(F.col("_n") <= k).select("rid", "other", "cosine")
+    member = cut(sound.groupBy("id").agg(F.min("rid").alias("rid")))
     # of a group of copies only the k + 1 smallest ids can be anyone's answer
-    member = nodes.select("id", "rid")
     first = member.withColumn("_n", F.row_number().over(W.partitionBy("rid").orderBy("id"))).where(F.col("_n") <= k + 1).select(F.col("rid").alias("other"), F.col("id").alias("other_id"))
     copies = member.groupBy("rid").agg(F.count("*").alias("n")).where("n > 1").select("rid", F.col("rid").alias("other"), F.lit(1.0).alias("cosine"))
     answers = near.union(copies).join(first, "other").select("rid", "other_id", "cosine")
     top = answers.withColumn("_n", F.row_number().over(W.partitionBy("rid").orderBy(F.desc("cosine"), "other_id"))).where(F.col("_n") <= k + 1)
     spread = member.join(top, "rid").where(F.col("id") != F.col("other_id")).withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy(F.desc("cosine"), "other_id")))
-    out = spread.where(F.col("rank") <= k)
-    if min_cosine is not None:
-        out = out.where(F.col("cosine") >= min_cosine)
-    return out.select("id", F.col("other_id").alias("other"), "cosine", "rank")
+    return spread.where(F.col("rank") <= k).select("id", F.col("other_id").alias("other"), "cosine", "rank")
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
