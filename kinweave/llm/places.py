@@ -15,8 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.neighbours import in_blocks
 from kinweave.llm.records import osa, with_fields, within
+from kinweave.operators.neighbours import in_blocks
 from kinweave.session import cut
 
 PARTS = ["number", "kind", "street", "town", "postal", "area"]
