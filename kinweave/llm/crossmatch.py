@@ -117,13 +117,20 @@ def fit_confidence(x: np.ndarray, y: np.ndarray, strength: float = 4.0) -> np.nd
     if not len(y):
         return w
     xs = np.column_stack([np.ones(len(y)), x])
-    for _ in range(50):
+    def loss(v: np.ndarray) -> float:
+        z = xs @ v
+        return float((np.logaddexp(0, z) - y * z).sum() + ((v - PRIOR) ** 2).sum() / (2 * strength))
+
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(xs @ w, -30, 30)))
         grad = xs.T @ (p - y) + (w - PRIOR) / strength
         hess = (xs * (p * (1 - p))[:, None]).T @ xs + np.eye(len(w)) / strength
         step = np.linalg.solve(hess, grad)
-        w -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        size, now = 1.0, loss(w)
+        while loss(w - size * step) > now and size > 1e-10:  # a full step may overshoot far from the optimum
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
     return w
 

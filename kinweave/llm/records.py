@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.session import partitions
+
 # Word lists and lookup tables.
 PLACEHOLDERS = frozenset(["", "-", "--", ".", "n/a", "na", "nan", "none", "null", "nil", "not available", "unknown", "tbd"])
 LEGAL = frozenset(
@@ -42,7 +44,7 @@ STREET_TYPES = {
     "gasse": "gasse", "laan": "laan", "gracht": "gracht gr", "straat": "straat", "plein": "plein", "kade": "kade",
 }
 TYPE_OF = {w: t for t, ws in STREET_TYPES.items() for w in ws.split()}
-SAME_TYPE = {"straat": "strasse", "plein": "platz", "rua": "rue", "avenida": "avenue", "alameda": "allee", "piazza": "plaza", "praca": "plaza"}  # one abbreviation stands for both
+SAME_TYPE = {"strasse": "street", "straat": "street", "plein": "platz", "rua": "rue", "avenida": "avenue", "alameda": "allee", "piazza": "plaza", "praca": "plaza"}  # one abbreviation stands for both
 FUSED = {"strasse": "strasse", "straat": "straat", "platz": "platz", "allee": "allee", "gracht": "gracht", "gasse": "gasse", "plein": "plein", "laan": "laan", "ring": "ring", "weg": "weg", "kade": "kade", "str": "strasse", "rg": "ring", "pl": "platz", "gr": "gracht", "wg": "weg"}
 NAME_AFTER = frozenset("rue allee chemin place calle avenida plaza paseo camino ronda rua praca alameda travessa largo via viale corso piazza vicolo".split())
 ARTICLES = frozenset("de du des la le les da do dos del della di d l".split())
@@ -294,7 +296,8 @@ def with_fields(df: DataFrame, id_col: str = "entity_id", name: str = "business_
     once, by its latest content in the order (name, address, country).
     """
     c = {k: F.col(v).cast("string").alias(k) for k, v in (("n", name), ("a", address), ("c", country))}
-    rows = df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("string").alias("id")).agg(F.max(F.struct(*c.values())).alias("r")).select("id", "r.n", "r.a", "r.c")
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), *c.values()).repartition(4 * partitions(df.sparkSession), "id")
+    rows = rows.groupBy("id").agg(F.max(F.struct("n", "a", "c")).alias("r")).select("id", "r.n", "r.a", "r.c")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
