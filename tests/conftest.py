@@ -8,6 +8,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # as Spark sets it for the workers of a cluster
 
 
 @pytest.fixture(scope="session")
