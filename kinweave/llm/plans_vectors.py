@@ -10,7 +10,9 @@ from kinweave.session import read_table
 
 
 def p3_similar(spark: SparkSession, d: str) -> DataFrame:
-    return similar(read_table(spark, d, "name_vectors"), k=10)
+    """The ten nearest of every entity whose number is divisible by 100, among all entities, in all shards."""
+    asks = F.try_to_number(F.substring("entity_id", 4, 10), F.lit("9999999999")) % 100 == 0
+    return similar(read_table(spark, d, "name_vectors"), k=10, margin=None, beam=40, asks=asks)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

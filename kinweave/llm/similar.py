@@ -43,18 +43,18 @@ def usable(vec: str, dim: int) -> Column:
 
 
 def similar(
-    df: DataFrame, k: int = 10, min_cosine: float | None = None, id_col: str = "entity_id", vec_col: str = "vec", shard_size: int = 12_000, sample_size: int = 20_000, margin: float | None = 0.1, beam: int = 16
+    df: DataFrame, k: int = 10, min_cosine: float | None = None, id_col: str = "entity_id", vec_col: str = "vec", shard_size: int = 12_000, sample_size: int = 20_000, margin: float | None = 0.1, beam: int = 16, asks: Column | None = None
 ) -> DataFrame:
     """(id, other, cosine, rank): for each id the k most similar other ids found, best first, ties by the smaller other id.
 
     Approximate: see the README for the recall measured against brute force. min_cosine drops less similar ones. An
     id that comes again counts once, with the vector of least hash; null ids, and null, all-zero and unsound vectors and
     those of another than the commonest length, take no part. Equal vectors have cosine 1. Fewer than two usable
-    vectors give no rows. Other columns, whatever their names, play no part.
+    vectors give no rows. asks picks the rows that are queries (all by default); every row is searched. Other columns, whatever their names, play no part.
     """
     spark = df.sparkSession
     id_type = df.schema[id_col].dataType.simpleString()
-    rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>").alias("vec")).where("id IS NOT NULL AND vec IS NOT NULL")
+    rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>").alias("vec"), (F.lit(True) if asks is None else F.coalesce(asks, F.lit(False))).alias("ask")).where("id IS NOT NULL AND vec IS NOT NULL")
     lengths = rows.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     if lengths is None or not lengths["dim"]:
         return spark.createDataFrame([], f"id {id_type}, other {id_type}, cosine double, rank int")
@@ -86,6 +86,7 @@ def similar(
             home = sim.argmax(axis=1)
             # distance to the border between the own shard and each other one
             near = (sim[at, home][:, None] - sim) / gap[home] <= (np.inf if margin is None else margin)
+            near &= b.column("ask").to_numpy(zero_copy_only=False)[:, None]
             near[at, home] = True
             piece = (rid.view(np.uint64) % split[home].astype(np.uint64)).astype(np.int64)
             who, shard = np.nonzero(near)
@@ -96,16 +97,19 @@ def similar(
             flat = pa.py_buffer(np.ascontiguousarray(x[who]).tobytes())
             width = x.shape[1] * 4
             vec = pa.Array.from_buffers(pa.binary(), len(who), [None, pa.py_buffer((np.arange(len(who) + 1) * width).astype(np.int32).tobytes()), flat])
-            yield pa.RecordBatch.from_arrays([pa.array(rid[who]), pa.array((shard * 1024 + part).astype(np.int32)), pa.array(stored), vec], ["rid", "shard", "stored", "vec"])
+            yield pa.RecordBatch.from_arrays([pa.array(rid[who]), pa.array((shard * 1024 + part).astype(np.int32)), pa.array(stored), b.column("ask").take(pa.array(who)), vec], ["rid", "shard", "stored", "ask", "vec"])
 
     def answer(table: pa.Table) -> pa.Table:
-        rid, stored = table.column("rid").to_numpy(), table.column("stored").to_numpy()
+        rid, stored, ask = (table.column(c).to_numpy() for c in ("rid", "stored", "ask"))
         x = np.frombuffer(b"".join(table.column("vec").to_pylist()), np.float32).reshape(len(rid), -1)
         # copies of one vector carry one number and are one node
+        asking = np.unique(rid[ask.astype(bool)])
         rid, first = np.unique(rid, return_index=True)
         x, stored = x[first], stored[first]
         base, names = x[stored], rid[stored]
-        if not len(base):
+        asked = np.isin(rid, asking)
+        x, rid = x[asked], rid[asked]
+        if not len(base) or not len(x):
             return pa.table({"rid": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "cosine": pa.array([], pa.float64())})
         found, _ = Graph(base, beam=beam).search(x, k + 1, max(beam, k + 1))
         rows, cols = np.nonzero(found >= 0)
@@ -117,16 +121,16 @@ def similar(
         return pa.table({"rid": a[keep], "other": b[keep], "cosine": cos[keep]})
 
     tasks = min(int(split.sum()), 100_000)
-    dealt = sound.select("rid", "vec").mapInArrow(route, "rid long, shard int, stored boolean, vec binary")
+    dealt = sound.select("rid", "vec", "ask").mapInArrow(route, "rid long, shard int, stored boolean, ask boolean, vec binary")
     found = cut(dealt.repartition(tasks, "shard").groupBy("shard").applyInArrow(answer, "rid long, other long, cosine double"))
     near = found.withColumn("_n", F.row_number().over(W.partitionBy("rid").orderBy(F.desc("cosine"), "other"))).where(F.col("_n") <= k).select("rid", "other", "cosine")
-    member = cut(sound.groupBy("id").agg(F.min("rid").alias("rid")))
+    member = cut(sound.groupBy("id").agg(F.min("rid").alias("rid"), F.max("ask").alias("ask")))
     # of a group of copies only the k + 1 smallest ids can be anyone's answer
     first = member.withColumn("_n", F.row_number().over(W.partitionBy("rid").orderBy("id"))).where(F.col("_n") <= k + 1).select(F.col("rid").alias("other"), F.col("id").alias("other_id"))
     copies = member.groupBy("rid").agg(F.count("*").alias("n")).where("n > 1").select("rid", F.col("rid").alias("other"), F.lit(1.0).alias("cosine"))
     answers = near.union(copies).join(first, "other").select("rid", "other_id", "cosine")
     top = answers.withColumn("_n", F.row_number().over(W.partitionBy("rid").orderBy(F.desc("cosine"), "other_id"))).where(F.col("_n") <= k + 1)
-    spread = member.join(top, "rid").where(F.col("id") != F.col("other_id")).withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy(F.desc("cosine"), "other_id")))
+    spread = member.where("ask").join(top, "rid").where(F.col("id") != F.col("other_id")).withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy(F.desc("cosine"), "other_id")))
     return spread.where(F.col("rank") <= k).select("id", F.col("other_id").alias("other"), "cosine", "rank")
 
 

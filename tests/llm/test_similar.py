@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from kinweave.llm.graph import Graph, robust_prune
 from kinweave.llm.similar import similar
@@ -60,6 +61,9 @@ def test_recall_of_the_operator(spark):
         every.setdefault(r["id"], set()).add(r["other"])
     full = brute(data, 5)
     assert sum(len(set(v) & every[k]) for k, v in full.items()) >= 0.9 * 5 * len(full)
+    some = similar(df, 5, shard_size=1500, margin=None, beam=32, asks=F.col("entity_id") < "00100").collect()
+    assert {r["id"] for r in some} == {f"{i:05d}" for i in range(100)}
+    assert sum(r["other"] in full[r["id"]] for r in some) >= 0.9 * 500
 
 
 def test_copies_nulls_and_ties(spark):
