@@ -8,19 +8,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def lcs_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one bit for each letter of a (Hyyro's recurrence on Python integers)."""
-    if not a or not b:
-        return 0
+def _masks(a: str) -> dict[str, int]:
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    free = full
+    return where
+
+
+def _common(where: dict[str, int], n: int, b: str) -> int:
+    full = free = (1 << n) - 1
     for c in b:
         met = free & where.get(c, 0)
-        free = ((free + met) | (free - met)) & full
-    return len(a) - free.bit_count()
+        if met:
+            free = ((free + met) | (free - met)) & full
+    return n - free.bit_count()
+
+
+def lcs_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, one bit for each letter of a (Hyyro's recurrence on Python integers)."""
+    return _common(_masks(a), len(a), b) if a and b else 0
 
 
 def ratio(a: str, b: str) -> float:
@@ -54,14 +60,15 @@ def token_set_ratio(a: str, b: str) -> float:
 
 def _best_window(short: str, long: str) -> float:
     n, m = len(short), len(long)
-    letters = set(short)
+    letters = _masks(short)
     best = 0.0
     for start in range(1 - n, m):
         w = long[max(0, start) : start + n]
         # a window whose outer letter matches nothing is no better than its neighbour without it
         if (w[0] if start + n > m else w[-1]) not in letters:
             continue
-        best = max(best, 2.0 * lcs_length(short, w) / (n + len(w)))
+        if 2.0 * min(n, len(w)) / (n + len(w)) > best:
+            best = max(best, 2.0 * _common(letters, n, w) / (n + len(w)))
         if best == 1.0:
             break
     return best
