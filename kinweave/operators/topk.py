@@ -31,6 +31,11 @@ def cap_global(pairs: DataFrame, k: int, digits: int | None = None) -> DataFrame
     return _capped(pairs, ["source1_entity_id"], k, score).select(*PAIR, source_of(F.col("candidate_entity_id")).alias("source"), "blocking_score")
 
 
+def distinct_pairs(pairs: DataFrame) -> DataFrame:
+    """Every pair once, with its highest score and source taken from the candidate's id; no cap."""
+    return pairs.groupBy(*PAIR).agg(F.max("blocking_score").alias("blocking_score")).select(*PAIR, source_of(F.col("candidate_entity_id")).alias("source"), "blocking_score")
+
+
 def merge_candidates(*sets: DataFrame, k: int = 30) -> DataFrame:
     """Union of pair sets, a pair's highest score, capped over all sources. Empty sets give no rows."""
     return cap_global(union_all([s.select(*PAIR, "blocking_score") for s in sets]), k)

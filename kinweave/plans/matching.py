@@ -141,7 +141,7 @@ def joined_id_lists(spark: SparkSession, d: str) -> DataFrame:
 
 def pairs_and_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     left, ref = sides(spark, d)
-    return K.cap_global(known_pairs(spark, d), 30), left, ref
+    return K.distinct_pairs(known_pairs(spark, d)), left, ref
 
 
 def pair_features_native(spark: SparkSession, d: str) -> DataFrame:
@@ -154,7 +154,7 @@ def pair_features_all(spark: SparkSession, d: str) -> DataFrame:
 
 
 def labels(spark: SparkSession, d: str) -> DataFrame:
-    return with_labels(K.cap_global(known_pairs(spark, d), 30).select("source1_entity_id", "candidate_entity_id"), truth(spark, d)[1])
+    return with_labels(K.distinct_pairs(known_pairs(spark, d)).select("source1_entity_id", "candidate_entity_id"), truth(spark, d)[1])
 
 
 def positive_rate(spark: SparkSession, d: str) -> DataFrame:
