@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -182,10 +183,17 @@ def ivf_search(queries: DataFrame, base: DataFrame, k: int, on: list[str], train
 
 
 def search(queries: DataFrame, base: DataFrame, k: int, on: list[str], kind: str = "auto") -> DataFrame:
-    """flat_search or ivf_search, as index_kind says for the largest group."""
-    largest = base.groupBy(*on).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    kind = index_kind(largest, kind)
-    return flat_search(queries, base, k, on) if kind == "flat" else ivf_search(queries, base, k, on, pq_parts=48 if kind == "ivfpq" else None)
+    """flat_search or ivf_search for each group of on, as index_kind says for its size; a group searched by cells has its own."""
+    index_kind(0, kind)  # an unknown kind fails before any work
+    large = []
+    for r in base.groupBy(*on).agg(F.count("*").alias("n")).collect() if kind != "flat" else []:
+        if (chosen := index_kind(r["n"], kind)) != "flat":
+            large.append((reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(r[c])) for c in on], F.lit(True)), chosen))
+    if not large:
+        return flat_search(queries, base, k, on)
+    found = [ivf_search(queries.where(at), base.where(at), k, on, pq_parts=48 if chosen == "ivfpq" else None) for at, chosen in large]
+    small = ~reduce(Column.__or__, [at for at, _ in large])
+    return union_all([flat_search(queries.where(small), base.where(small), k, on), *found])
 
 
 def embedding_candidates(

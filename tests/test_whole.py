@@ -6,8 +6,10 @@ import os
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 
+from kinweave.operators import nearest as N
 from kinweave.plans import matching as Q
 from tests.test_entry import canon
 
@@ -50,3 +52,16 @@ def test_features_equal_sql_without_its_cap(spark, name):
     names = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(names)
     assert canon([tuple(r) for r in got.collect()], got.columns) == canon(want.fetchall(), names)
+
+
+def test_index_of_each_group_by_its_own_size(spark):
+    rng = np.random.default_rng(0)
+    large, small = rng.normal(size=(401, 8)).repeat(50, axis=0) + 0.1 * rng.normal(size=(20_050, 8)), rng.normal(size=(60, 8))
+    x = np.concatenate([large, small])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    base = spark.createDataFrame([("large" if i < len(large) else "small", i, v) for i, v in enumerate(x.tolist())], "g string, id long, vec array<float>").repartition(8).cache()
+    asked = base.where("g = 'small' OR id % 400 = 0")
+    of = lambda df, g: {(r["left_id"], r["right_id"]) for r in df.collect() if r["g"] == g}
+    found, exact = N.search(asked, base, 10, ["g"]).cache(), N.flat_search(asked, base, 10, ["g"]).cache()
+    assert of(found, "small") == of(exact, "small")  # up to 20,000 rows, so exact beside a larger group too
+    assert len(of(found, "large") & of(exact, "large")) >= 0.9 * len(of(exact, "large"))
