@@ -17,7 +17,7 @@ from kinweave.operators.features import FEATURE_NAMES, attach, native_features,
 from kinweave.operators.learning import TreeConfig, out_of_fold
 from kinweave.session import cut, read_table
 
-CONFIG = B.BlockingConfig(top_k=10, window=10, max_group_size=50)
+CONFIG = B.BlockingConfig()
 SCORES = ["source1_entity_id", "candidate_entity_id", "source", "blocking_score"]
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,7 +128,7 @@ def cap_top_k_global(spark: SparkSession, d: str) -> DataFrame:
 
 def merge_candidates(spark: SparkSession, d: str) -> DataFrame:
     left, ref = sides(spark, d)
-    return K.merge_candidates(known_pairs(spark, d), B.exact_key_pairs(left, ref, "block_key", CONFIG.max_group_size, 1.0), k=8)
+    return K.merge_candidates(known_pairs(spark, d), B.exact_key_pairs(left, ref, "block_key", CONFIG.max_group_size, 1.0), k=CONFIG.top_k)
 
 
 def joined_id_lists(spark: SparkSession, d: str) -> DataFrame:
@@ -189,7 +189,7 @@ def per_signal_recall(spark: SparkSession, d: str) -> DataFrame:
 
 def cap_victims(spark: SparkSession, d: str, per_source: bool = False) -> DataFrame:
     left, ref = sides(spark, d)
-    return M.cap_victims(left, ref, cut(truth(spark, d)[1]), B.BlockingConfig(max_group_size=10), per_source)
+    return M.cap_victims(left, ref, cut(truth(spark, d)[1]), CONFIG, per_source)
 
 
 def cross_country(spark: SparkSession, d: str) -> DataFrame:
@@ -255,7 +255,7 @@ QUERIES: dict[str, Query] = {
     "sorted_neighborhood_rev": sorted_neighbourhood("name_core_rev"),
     "sorted_neighborhood_addr": sorted_neighbourhood("addr_norm"),
     "generate_candidates": generate_candidates,
-    "generate_candidates_any_country": partial(generate_candidates, config=B.BlockingConfig(top_k=10, window=10, max_group_size=50, same_country_only=False)),
+    "generate_candidates_any_country": partial(generate_candidates, config=B.BlockingConfig(same_country_only=False)),
     "cap_top_k_per_source": cap_top_k_per_source,
     "cap_top_k_global": cap_top_k_global,
     "merge_candidates": merge_candidates,
@@ -385,7 +385,8 @@ SELECT v.kind, count(h.kind) FILTER (WHERE h.under) AS matched_under_cap, count(
 FROM (VALUES ('block_key'), ('postal'), ('token')) v(kind) LEFT JOIN hits h ON h.kind = v.kind, lost GROUP BY v.kind"""
 
 
-_C = CONFIG
+# the SQL stands for smaller parameters than the queries' CONFIG
+_C = B.BlockingConfig(top_k=10, window=10, max_group_size=50)
 _ANY = SIDES.replace("SELECT * FROM rec WHERE src = 'S1'", "SELECT * REPLACE ('*' AS country) FROM rec WHERE src = 'S1'").replace("SELECT * FROM rec WHERE src <> 'S1'", "SELECT * REPLACE ('*' AS country) FROM rec WHERE src <> 'S1'")
 _GRID = ", ".join(f"({t})" for t in M.GRID)
 SQL: dict[str, str] = {
