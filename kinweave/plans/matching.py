@@ -282,7 +282,7 @@ QUERIES: dict[str, Query] = {
 # SQL
 
 REC = T.sql_prepared({"S1": "train_source1", "S2": "train_source2", "S3": "train_source3"})
-SIDES = REC + ",\ns1 AS (SELECT * FROM rec WHERE src = 'S1'), ref AS (SELECT * FROM rec WHERE src <> 'S1')"
+SIDES = REC + ",\ns1 AS MATERIALIZED (SELECT * FROM rec WHERE src = 'S1'), ref AS MATERIALIZED (SELECT * FROM rec WHERE src <> 'S1')"
 ALL = "(SELECT entity_id, business_name, business_address, country FROM train_source1 UNION ALL SELECT entity_id, business_name, business_address, country FROM train_source2 UNION ALL SELECT entity_id, business_name, business_address, country FROM train_source3)"
 OTHERS = "(SELECT DISTINCT entity_id, country FROM train_source2 UNION SELECT DISTINCT entity_id, country FROM train_source3)"
 KNOWN = "known AS (SELECT * FROM (SELECT upper(trim(source1_entity_id, ' ')) AS source1_entity_id, candidate_entity_id, source, blocking_score FROM candidate_pairs) WHERE source1_entity_id <> '' AND candidate_entity_id <> '' AND blocking_score IS NOT NULL AND NOT isnan(blocking_score))"
@@ -292,7 +292,8 @@ truth AS (SELECT DISTINCT s1_id, cand_id FROM (SELECT source1_entity_id AS s1_id
 
 def sql_exact(key: str, score: float, cap: int) -> str:
     return f"""SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id, b.src AS source, b.country, {score}::DOUBLE AS blocking_score
-FROM s1 a JOIN (SELECT *, count(*) OVER (PARTITION BY src, country, {key}) AS n FROM ref) b ON a.country = b.country AND a.{key} = b.{key} WHERE a.{key} <> '' AND b.n <= {cap}"""
+FROM (SELECT src, country, {key} AS key FROM ref WHERE {key} <> '' GROUP BY ALL HAVING count(*) <= {cap}) c
+JOIN ref b ON b.src = c.src AND b.country = c.country AND b.{key} = c.key JOIN s1 a ON a.country = c.country AND a.{key} = c.key"""
 
 
 def sql_words(table: str) -> str:
@@ -340,7 +341,7 @@ def sql_generate(c: B.BlockingConfig, sides_sql: str) -> str:
 ROUNDED = "SELECT source1_entity_id, candidate_entity_id, source, round(blocking_score, 6) AS blocking_score FROM"
 SOURCE = "left(candidate_entity_id, 2) AS source"
 GLOBAL = f"SELECT source1_entity_id, candidate_entity_id, {SOURCE}, max(blocking_score) AS blocking_score FROM known GROUP BY ALL"
-TOP30 = f"top30 AS ({sql_cap(GLOBAL, 30, 'source1_entity_id')})"
+DISTINCT_PAIRS = f"pairs AS MATERIALIZED ({GLOBAL})"
 
 
 def sql_jaccard(a: str, b: str) -> str:
@@ -355,7 +356,8 @@ def sql_same(a: str, b: str) -> str:
     return f"(CASE WHEN {a} <> '' AND {a} = {b} THEN 1.0 ELSE 0.0 END)"
 
 
-PROFILE = f"prof AS MATERIALIZED (SELECT *, list_distinct({T.sql_tokens('name_norm')}) AS nt, {T.sql_ngrams('name_norm')} AS ng, list_distinct({T.sql_tokens('addr_norm')}) AS at, {T.sql_ngrams('addr_norm')} AS ag FROM rec)"
+# token and n-gram lists only of records that occur in a pair
+PROFILE = f"prof AS MATERIALIZED (SELECT *, list_distinct({T.sql_tokens('name_norm')}) AS nt, {T.sql_ngrams('name_norm')} AS ng, list_distinct({T.sql_tokens('addr_norm')}) AS at, {T.sql_ngrams('addr_norm')} AS ag FROM rec WHERE entity_id IN (SELECT source1_entity_id FROM pairs UNION SELECT candidate_entity_id FROM pairs))"
 
 
 def sql_f(p: str, t: str, h: str) -> str:
@@ -385,8 +387,6 @@ SELECT v.kind, count(h.kind) FILTER (WHERE h.under) AS matched_under_cap, count(
 FROM (VALUES ('block_key'), ('postal'), ('token')) v(kind) LEFT JOIN hits h ON h.kind = v.kind, lost GROUP BY v.kind"""
 
 
-# the SQL stands for smaller parameters than the queries' CONFIG
-_C = B.BlockingConfig(top_k=10, window=10, max_group_size=50)
 _ANY = SIDES.replace("SELECT * FROM rec WHERE src = 'S1'", "SELECT * REPLACE ('*' AS country) FROM rec WHERE src = 'S1'").replace("SELECT * FROM rec WHERE src <> 'S1'", "SELECT * REPLACE ('*' AS country) FROM rec WHERE src <> 'S1'")
 _GRID = ", ".join(f"({t})" for t in M.GRID)
 SQL: dict[str, str] = {
@@ -397,37 +397,37 @@ SQL: dict[str, str] = {
     "char_ngrams": f"WITH {REC} SELECT entity_id, len(list_distinct({T.sql_tokens('name_norm')})) AS n_tokens, array_to_string(list_sort({T.sql_ngrams('name_norm')}), '|') AS grams FROM rec",
     "parse_id_list": f"SELECT source1_entity_id, len({T.sql_id_list('matched_entity_ids')}) AS n_ids, array_to_string(ids, '|') AS ids FROM (SELECT *, (SELECT coalesce(list(e ORDER BY i), []) FROM (SELECT e, min(i) AS i FROM (SELECT unnest(x) AS e, generate_subscripts(x, 1) AS i) GROUP BY e)) AS ids FROM (SELECT *, CASE WHEN matched_entity_ids IS NULL OR lower(trim(matched_entity_ids)) IN ('', 'nan') THEN [] ELSE list_filter(list_transform(string_split(matched_entity_ids, ','), lambda e: regexp_replace(e, '^\\s+|\\s+$', '', 'g')), lambda e: e <> '') END AS x FROM train_labels))",
     "prepare_text": f"SELECT DISTINCT entity_id, coalesce(country, '') AS country, 'passage: ' || (CASE WHEN trim(coalesce(business_address, '')) = '' THEN coalesce(business_name, '') ELSE coalesce(business_name, '') || ' -- ' || business_address END) AS text, left(entity_id, 2) AS source FROM {ALL}",
-    "exact_key_join_block": f"WITH {SIDES} {ROUNDED} ({sql_exact('block_key', 1.0, _C.max_group_size)})",
-    "exact_key_join_postal": f"WITH {SIDES} {ROUNDED} ({sql_exact('postal', 0.9, _C.max_group_size)})",
+    "exact_key_join_block": f"WITH {SIDES} {ROUNDED} ({sql_exact('block_key', 1.0, CONFIG.max_group_size)})",
+    "exact_key_join_postal": f"WITH {SIDES} {ROUNDED} ({sql_exact('postal', 0.9, CONFIG.max_group_size)})",
     "key_frequency": f"WITH {SIDES} SELECT src, country, block_key AS key, count(*) AS n FROM ref WHERE block_key <> '' GROUP BY ALL",
     "group_size_cap": f"WITH {SIDES} SELECT src, country, postal AS key, count(*) AS n FROM ref WHERE postal <> '' GROUP BY ALL HAVING count(*) <= 2",
-    "token_weights": f"WITH {SIDES}, {sql_weights(_C.max_group_size)} SELECT src, country, key, n, round(weight, 6) AS weight FROM weights",
-    "token_join": f"WITH {SIDES}, {sql_weights(_C.max_group_size)} {ROUNDED} ({SQL_TOKEN})",
-    "sorted_neighborhood_name": f"WITH {SIDES} {ROUNDED} ({sql_neighbours('name_core', _C.window)})",
-    "sorted_neighborhood_rev": f"WITH {SIDES} {ROUNDED} ({sql_neighbours('name_core_rev', _C.window)})",
-    "sorted_neighborhood_addr": f"WITH {SIDES} {ROUNDED} ({sql_neighbours('addr_norm', _C.window)})",
-    "generate_candidates": sql_generate(_C, SIDES),
-    "generate_candidates_any_country": sql_generate(_C, _ANY),
+    "token_weights": f"WITH {SIDES}, {sql_weights(CONFIG.max_group_size)} SELECT src, country, key, n, round(weight, 6) AS weight FROM weights",
+    "token_join": f"WITH {SIDES}, {sql_weights(CONFIG.max_group_size)} {ROUNDED} ({SQL_TOKEN})",
+    "sorted_neighborhood_name": f"WITH {SIDES} {ROUNDED} ({sql_neighbours('name_core', CONFIG.window)})",
+    "sorted_neighborhood_rev": f"WITH {SIDES} {ROUNDED} ({sql_neighbours('name_core_rev', CONFIG.window)})",
+    "sorted_neighborhood_addr": f"WITH {SIDES} {ROUNDED} ({sql_neighbours('addr_norm', CONFIG.window)})",
+    "generate_candidates": sql_generate(CONFIG, SIDES),
+    "generate_candidates_any_country": sql_generate(CONFIG, _ANY),
     "cap_top_k_per_source": f"WITH {KNOWN} " + sql_cap(GLOBAL, 5, "source1_entity_id, source"),
     "cap_top_k_global": f"WITH {KNOWN} " + sql_cap(GLOBAL, 5, "source1_entity_id"),
-    "merge_candidates": f"WITH {SIDES}, {KNOWN} " + sql_cap(f"SELECT source1_entity_id, candidate_entity_id, {SOURCE}, max(blocking_score) AS blocking_score FROM (SELECT source1_entity_id, candidate_entity_id, blocking_score FROM known UNION ALL SELECT source1_entity_id, candidate_entity_id, blocking_score FROM ({sql_exact('block_key', 1.0, _C.max_group_size)})) GROUP BY ALL", 8, "source1_entity_id"),
+    "merge_candidates": f"WITH {SIDES}, {KNOWN} " + sql_cap(f"SELECT source1_entity_id, candidate_entity_id, {SOURCE}, max(blocking_score) AS blocking_score FROM (SELECT source1_entity_id, candidate_entity_id, blocking_score FROM known UNION ALL SELECT source1_entity_id, candidate_entity_id, blocking_score FROM ({sql_exact('block_key', 1.0, CONFIG.max_group_size)})) GROUP BY ALL", CONFIG.top_k, "source1_entity_id"),
     "joined_id_lists": f"WITH {KNOWN} SELECT s.entity_id AS source1_entity_id, coalesce(string_agg(DISTINCT k.candidate_entity_id, ',' ORDER BY k.candidate_entity_id), '') AS candidate_entity_ids FROM (SELECT DISTINCT entity_id FROM train_source1) s LEFT JOIN known k ON k.source1_entity_id = s.entity_id AND k.blocking_score >= 0.9 GROUP BY s.entity_id",
-    "pair_features_native": f"""WITH {REC}, {KNOWN}, {TOP30}, {PROFILE}
+    "pair_features_native": f"""WITH {REC}, {KNOWN}, {DISTINCT_PAIRS}, {PROFILE}
 SELECT p.source1_entity_id, p.candidate_entity_id, round({sql_jaccard("a.nt", "b.nt")}, 6) AS name_token_jaccard, round({sql_jaccard("a.ng", "b.ng")}, 6) AS name_char3_jaccard, round({sql_len_diff("a.name_norm", "b.name_norm")}, 6) AS name_len_diff,
 {sql_same("a.name_norm", "b.name_norm")}::DOUBLE AS name_exact, {sql_same("a.name_core", "b.name_core")}::DOUBLE AS name_core_exact, round({sql_jaccard("a.at", "b.at")}, 6) AS addr_token_jaccard, round({sql_jaccard("a.ag", "b.ag")}, 6) AS addr_char3_jaccard,
 round({sql_len_diff("a.addr_norm", "b.addr_norm")}, 6) AS addr_len_diff, {sql_same("a.postal", "b.postal")}::DOUBLE AS postal_match, (a.postal <> '' AND b.postal <> '')::INT::DOUBLE AS postal_both_present, (a.country = b.country)::INT::DOUBLE AS country_match, round(p.blocking_score, 6) AS blocking_score
-FROM top30 p JOIN prof a ON a.src = 'S1' AND a.entity_id = p.source1_entity_id JOIN prof b ON b.src <> 'S1' AND b.entity_id = p.candidate_entity_id""",
-    "labels": f"WITH {KNOWN}, {TOP30}, {TRUTH} SELECT p.source1_entity_id, p.candidate_entity_id, (t.s1_id IS NOT NULL)::INT AS label FROM top30 p LEFT JOIN truth t ON t.s1_id = p.source1_entity_id AND t.cand_id = p.candidate_entity_id",
-    "positive_rate": f"WITH {KNOWN}, {TOP30}, {TRUTH} SELECT count(*) AS n, count(t.s1_id) AS positives, round(count(t.s1_id) / count(*)::DOUBLE, 6) AS rate FROM top30 p LEFT JOIN truth t ON t.s1_id = p.source1_entity_id AND t.cand_id = p.candidate_entity_id",
+FROM pairs p JOIN prof a ON a.src = 'S1' AND a.entity_id = p.source1_entity_id JOIN prof b ON b.src <> 'S1' AND b.entity_id = p.candidate_entity_id""",
+    "labels": f"WITH {KNOWN}, {DISTINCT_PAIRS}, {TRUTH} SELECT p.source1_entity_id, p.candidate_entity_id, (t.s1_id IS NOT NULL)::INT AS label FROM pairs p LEFT JOIN truth t ON t.s1_id = p.source1_entity_id AND t.cand_id = p.candidate_entity_id",
+    "positive_rate": f"WITH {KNOWN}, {DISTINCT_PAIRS}, {TRUTH} SELECT count(*) AS n, count(t.s1_id) AS positives, round(count(t.s1_id) / count(*)::DOUBLE, 6) AS rate FROM pairs p LEFT JOIN truth t ON t.s1_id = p.source1_entity_id AND t.cand_id = p.candidate_entity_id",
     "blocking_recall": f"WITH {KNOWN}, {TRUTH}, {FOUND} SELECT round(CASE WHEN sum(n) > 0 THEN sum(f) / sum(n)::DOUBLE ELSE 1.0 END, 6) AS candidate_recall, coalesce(sum(n), 0)::BIGINT AS total_true_matches, coalesce(sum(f), 0)::BIGINT AS total_found, count(*) FILTER (WHERE f < n) AS entities_with_missed_matches FROM per",
     "recall_by_country": f"WITH {KNOWN}, {TRUTH}, {FOUND} SELECT coalesce(s.country, '') AS country, count(*) AS n_entities_with_matches, sum(n)::BIGINT AS total_true_matches, sum(f)::BIGINT AS total_found, round(sum(f) / sum(n)::DOUBLE, 6) AS recall FROM per LEFT JOIN (SELECT DISTINCT entity_id, country FROM train_source1) s ON s.entity_id = per.s1_id GROUP BY 1",
-    "per_signal_recall": f"WITH {SIDES}, {sql_weights(_C.max_group_size)}, {TRUTH}, hits AS MATERIALIZED (SELECT DISTINCT signal, t.s1_id, t.cand_id FROM ("
-    + " UNION ALL ".join(f"SELECT '{k}' AS signal, source1_entity_id, candidate_entity_id FROM ({q})" for k, q in sql_signals(_C).items())
+    "per_signal_recall": f"WITH {SIDES}, {sql_weights(CONFIG.max_group_size)}, {TRUTH}, hits AS MATERIALIZED (SELECT DISTINCT signal, t.s1_id, t.cand_id FROM ("
+    + " UNION ALL ".join(f"SELECT '{k}' AS signal, source1_entity_id, candidate_entity_id FROM ({q})" for k, q in sql_signals(CONFIG).items())
     + f""") p JOIN truth t ON t.s1_id = p.source1_entity_id AND t.cand_id = p.candidate_entity_id),
 n AS (SELECT signal, count(*) AS found FROM hits GROUP BY signal UNION ALL SELECT 'UNION', count(*) FROM (SELECT DISTINCT s1_id, cand_id FROM hits))
 SELECT v.signal, coalesce(n.found, 0) AS found, round(coalesce(n.found, 0) / (SELECT count(*) FROM truth)::DOUBLE, 6) AS recall FROM (VALUES {", ".join(f"('{x}')" for x in [*B.SIGNALS, "UNION"])}) v(signal) LEFT JOIN n ON n.signal = v.signal""",
-    "cap_victims": sql_victims(10, False),
-    "cap_victims_per_source": sql_victims(10, True),
+    "cap_victims": sql_victims(CONFIG.max_group_size, False),
+    "cap_victims_per_source": sql_victims(CONFIG.max_group_size, True),
     "cross_country": f"WITH {TRUTH} SELECT count(*) AS n FROM truth t LEFT JOIN (SELECT DISTINCT entity_id, country FROM train_source1) a ON a.entity_id = t.s1_id LEFT JOIN {OTHERS} b ON b.entity_id = t.cand_id WHERE (a.entity_id IS NOT NULL OR b.entity_id IS NOT NULL) AND (a.country IS NULL OR b.country IS NULL OR a.country <> b.country)",
     "macro_f_beta": f"""WITH {KNOWN}, {TRUTH}, pred AS (SELECT DISTINCT source1_entity_id AS s1_id, candidate_entity_id AS cand_id FROM known WHERE blocking_score >= 0.9),
 e AS (SELECT s.s1_id, (SELECT count(*) FROM truth t WHERE t.s1_id = s.s1_id) AS t, (SELECT count(*) FROM pred p WHERE p.s1_id = s.s1_id) AS p, (SELECT count(*) FROM pred p JOIN truth t USING (s1_id, cand_id) WHERE p.s1_id = s.s1_id) AS h FROM spine s)
