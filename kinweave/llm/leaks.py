@@ -5,14 +5,17 @@ passage words with e edited words keeps at least
 
     chars(run) - q + 1 - e * (q - 1) - (letters of the e longest words)
 
-of the passage's character q-grams, all near one diagonal (text position less
-passage position). For every item the least such number over all runs that
-count is its bound, and q is the largest length whose bound stays positive, so
-no run that counts can be missed. Every document is scanned once: its rolling
-q-gram hashes are looked up in the items' index and hits are counted in
-overlapping diagonal bands. In bands that meet the item's bound, the same bound is
-asked of every single run of passage words, with each passage q-gram counted
-once; what is left is verified by a word alignment of the band's text.
+of the passage's character q-grams. The words between two edits lie on one diagonal
+(text position less passage position), so those q-grams lie on at most e + 1
+diagonals, however long an added word is. For every item the least such number
+over all runs that count is its bound, and q is the largest length whose bound
+stays positive. Every document is scanned once: its rolling q-gram hashes are
+looked up in the items' index and hits are counted in overlapping diagonal bands.
+Where the e + 1 fullest bands of an item and a text meet the item's bound, the hits
+are parted where the text has none for longer than any run could bear, and the same
+bound is asked of every single run of passage words, with each passage q-gram
+counted once. What is left is verified by an alignment of words in bands around
+the diagonals of the hits.
 
 The item index is broadcast in blocks of a stated size (block_chars); a larger
 item set takes more passes over the corpus, each against all documents.
@@ -24,6 +27,7 @@ import html
 import math
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,7 +56,7 @@ def _fold_table() -> np.ndarray:
     global _table
     if _table is None:
         t = np.zeros(0x110000, np.uint32)
-        for cp in range(0x10000):
+        for cp in range(0x20000):
             cat = unicodedata.category(chr(cp))
             if cat[0] in "LN" or cat == "Mc":
                 t[cp] = cp
@@ -134,27 +138,29 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
     return made * np.uint64(0xD6E8FEB86659FD93)
 
 
-def needs_of(lengths: list[int], share: float, rate: float, q: int) -> np.ndarray:
-    """need[i, n]: q-grams that the run of n words from word i keeps at least; a huge number where n is too small or the run would leave the passage."""
+def runs_of(lengths: list[int], share: float, rate: float) -> Iterator[tuple[int, int, int]]:
+    """(words, edits, letters that the edits can take) for every length of a run that counts."""
     m = len(lengths)
-    least = max(1, math.ceil(m * share - 1e-9))
-    sums = np.concatenate([[0], np.cumsum(lengths)])
-    longest = np.concatenate([[0], np.cumsum(sorted(lengths, reverse=True))])
-    need = np.full((m, m + 1), 1 << 40, np.int64)
-    for n in range(least, m + 1):
+    longest = np.concatenate([[0], np.cumsum(sorted(lengths, reverse=True))]).tolist()
+    for n in range(max(1, math.ceil(m * share - 1e-9)), m + 1):
         e = int(n * rate + 1e-9)
-        need[: m - n + 1, n] = sums[n:] - sums[: m - n + 1] - q + 1 - e * (q - 1) - longest[e]
-    return need
+        yield n, e, longest[e]
 
 
-def bounds_of(lengths: list[int], share: float, rate: float) -> tuple[int, np.ndarray]:
-    """(q, need) of an item whose words have these lengths: the largest q that asks for some shared q-grams of every run."""
+def needs_of(lengths: list[int], share: float, rate: float, q: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(n, need) for every length n of a run that counts: q-grams that the run of n words from each word keeps at least."""
+    sums = np.concatenate([[0], np.cumsum(lengths)])
+    for n, e, lost in runs_of(lengths, share, rate):
+        yield n, sums[n:] - sums[:-n] - q + 1 - e * (q - 1) - lost
+
+
+def bounds_of(lengths: list[int], share: float, rate: float) -> tuple[int, int]:
+    """(q, bound) of an item whose words have these lengths: the largest q that asks for some shared q-grams of every run, and how many."""
     for q in WIDTHS:
-        need = needs_of(lengths, share, rate, q)
-        if need.min() >= 8:
-            return q, need
-    q = 1 if sum(lengths) < 4 else 2
-    return q, np.maximum(1, needs_of(lengths, share, rate, q))
+        bound = min(int(need.min()) for _, need in needs_of(lengths, share, rate, q))
+        if bound >= 8:
+            return q, bound
+    return (1 if sum(lengths) < 4 else 2), 1
 
 
 class Index:
@@ -164,25 +170,33 @@ class Index:
         self.share, self.rate = share, rate
         self.ids: list[int] = []
         self.words: list[list[str]] = []
-        self.needs: list[tuple[int, np.ndarray, np.ndarray]] = []
+        self.q: list[int] = []
+        self.word_at: list[np.ndarray] = []
+        self.lack: list[np.ndarray] = []
         found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
-        bound, width, size = [], [], []
+        bound, width, size, edits = [], [], [], []
         for item, text in items:
             f = Folded([strip_markup(text)])
             w = f.words(0, len(f.codes))
             if not w:
                 continue
-            q, need = bounds_of([len(x) for x in w], share, rate)
+            q, least = bounds_of([len(x) for x in w], share, rate)
             k = len(self.ids)
             self.ids.append(item)
             self.words.append(w)
-            self.needs.append((q, f.word_at, need))
-            bound.append(int(need.min()))
+            self.q.append(q)
+            self.word_at.append(f.word_at)
+            lack = np.full(len(w) + 1, 1 << 40, np.int64)
+            for n, e, lost in runs_of([len(x) for x in w], share, rate):
+                lack[n] = 1 - q - e * (q - 1) - lost
+            self.lack.append(lack)
+            bound.append(least)
+            edits.append(int(len(w) * rate + 1e-9))
             width.append(max(64, 16 * math.ceil(len(w) * rate)))
             size.append(len(f.codes))
             h = gram_hashes(f.codes, q)
             found.setdefault(q, []).append((h, np.full(len(h), k), np.arange(len(h))))
-        self.bound, self.width, self.size = (np.array(x, np.int64) for x in (bound, width, size))
+        self.bound, self.width, self.size, self.edits = (np.array(x, np.int64) for x in (bound, width, size, edits))
         self.grams = {}
         for q, parts in found.items():
             h, k, p = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -197,7 +211,7 @@ class Index:
         """(item number, text number, words of the longest run, its edits) for every pair that counts."""
         f = Folded(texts)
         most = int(self.size.max()) if len(self.size) else 0
-        hits: dict[str, list[np.ndarray]] = {"item": [], "text": [], "band": [], "place": []}
+        hits: dict[str, list[np.ndarray]] = {"item": [], "text": [], "band": [], "place": [], "at": []}
         for q, (keys, first, count, items, places, flags) in self.grams.items():
             for lo in range(0, max(1, len(f.codes)), STRETCH):
                 h = gram_hashes(f.codes[lo : lo + STRETCH + q - 1], q)
@@ -218,93 +232,152 @@ class Index:
                 hits["text"].append(text)
                 hits["band"].append(diagonal // self.width[item])
                 hits["place"].append(places[post])
-        item, text, band, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in hits.values())
+                hits["at"].append(at)
+        item, text, band, place, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in hits.values())
         if not len(item):
             return
         pair = item * len(texts) + text
         order = np.argsort((pair << 34) + band, kind="stable")
-        pair, band, place = pair[order], band[order], place[order]
+        pair, band, place, at = pair[order], band[order], place[order], at[order]
         new = np.ones(len(pair), bool)
         new[1:] = (pair[1:] != pair[:-1]) | (band[1:] != band[:-1])
         head = np.flatnonzero(new)
         n = np.diff(np.append(head, len(pair)))
-        pair, band = pair[head], band[head]
+        banded, band = pair[head], band[head]
         # overlapping bands: each counts its own hits and the next band's
         beside = np.zeros(len(n), np.int64)
-        follows = (pair[1:] == pair[:-1]) & (band[1:] == band[:-1] + 1)
+        follows = (banded[1:] == banded[:-1]) & (band[1:] == band[:-1] + 1)
         beside[:-1][follows] = n[1:][follows]
-        total = n + beside
-        item = pair // len(texts)
-        good = np.flatnonzero(total >= self.bound[item])
-        best: dict[int, tuple[int, int]] = {}
-        for i in good[np.argsort(-total[good], kind="stable")]:
-            p = int(pair[i])
+        # the fullest bands of each pair, one more than there may be edits
+        fullest = np.lexsort((-(n + beside), banded))
+        banded, total = banded[fullest], (n + beside)[fullest]
+        first = np.flatnonzero(np.append(True, banded[1:] != banded[:-1]))
+        rank = np.arange(len(banded)) - np.repeat(first, np.diff(np.append(first, len(banded))))
+        held = np.add.reduceat(np.where(rank <= self.edits[banded // len(texts)], total, 0), first)
+        # a passage q-gram that comes again counts once
+        once = np.lexsort((place, pair))
+        distinct = np.add.reduceat(np.append(True, (pair[once][1:] != pair[once][:-1]) | (place[once][1:] != place[once][:-1])), np.flatnonzero(np.append(True, pair[1:] != pair[:-1])), dtype=np.int64)
+        least = self.bound[banded[first] // len(texts)]
+        for p in banded[first][(held >= least) & (distinct >= least)].tolist():
             k, t = divmod(p, len(texts))
-            if p in best and best[p][0] == len(self.words[k]):
-                continue
-            if not self.may_hold(k, place[head[i] : head[i] + total[i]]):
+            lo, hi = np.searchsorted(pair, [p, p + 1])
+            got = self.verify(f, k, int(f.bounds[t]), int(f.bounds[t + 1]), at[lo:hi], place[lo:hi])
+            if got:
+                yield k, t, *got
+
+    def verify(self, f: Folded, k: int, start: int, end: int, at: np.ndarray, place: np.ndarray) -> tuple[int, int] | None:
+        """(words, edits) of the longest run of item k in the text of letters start to end, from its hits (text and passage positions)."""
+        order = np.argsort(at, kind="stable")
+        at, place = at[order], place[order]
+        word = f.word_of[at].astype(np.int64)
+        # words without a hit that a run can hold: its edits, each with a rest of fewer than q letters beside it
+        bare = (int(self.edits[k]) + 1) * (self.q[k] + 1)
+        cuts = np.flatnonzero(np.diff(word) > bare) + 1
+        best = None
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True):
+            if not self.may_hold(k, place[a:b]):
                 continue
-            w, start, end = int(self.width[k]), int(f.bounds[t]), int(f.bounds[t + 1])
-            lo = start + int(band[i]) * w - most
-            got = run_in(self.words[k], f.words(max(start, lo - w), min(end, lo + 3 * w + int(self.size[k]))), self.share, self.rate)
-            if got and got > best.get(p, (0, 0)):
-                best[p] = got
-        for p, (length, edits) in best.items():
-            k, t = divmod(p, len(texts))
-            yield k, t, length, edits
-
+            lo = max(start, int(f.word_at[max(0, word[a] - bare)]))
+            hi = min(end, int(f.word_at[min(len(f.word_at) - 1, word[b - 1] + self.q[k] + bare)]))
+            found = run_in(self.words[k], f.words(lo, hi), self.share, self.rate, (at[a:b] - lo, np.searchsorted(self.word_at[k], place[a:b], side="right") - 1))
+            if found and (best is None or found > best):
+                best = found
+        return best
 
     def may_hold(self, k: int, places: np.ndarray) -> bool:
         """Whether the passage positions hit leave some run of item k that can count."""
-        q, word_at, need = self.needs[k]
+        if len(places) < self.bound[k] or len(np.unique(places)) < self.bound[k]:
+            return False
+        q, word_at = self.q[k], self.word_at[k]
         seen = np.zeros(int(word_at[-1]) + 1, np.int32)
         seen[places + 1] = 1
         upto = np.cumsum(seen)
         start, end = upto[word_at[:-1]], upto[np.maximum(word_at - q + 1, 0)]
         m = len(start)
-        held = np.lib.stride_tricks.sliding_window_view(np.concatenate([end, np.zeros(m, end.dtype)]), m + 1)[:m] - start[:, None]
-        return bool((held >= need).any())
+        # what a run from word i to word j keeps, less its letters, against what its length allows it to lack
+        head, tail = start - word_at[:-1], end - word_at
+        if m <= 512 and self.bound[k] > 1:
+            table = np.lib.stride_tricks.sliding_window_view(np.append(tail, np.full(m, -(1 << 40))), m + 1)[:m]
+            return bool((table - head[:, None] >= self.lack[k][None]).any())
+        least = self.lack[k]
+        return any(bool(((tail[n:] - head[: m - n + 1] >= least[n]) & (end[n:] > start[: m - n + 1])).any()) for n in range(1, m + 1) if least[n] < 1 << 40)
 
 
-def run_in(passage: list[str], text: list[str], share: float, rate: float) -> tuple[int, int] | None:
-    """(words, edits) of the longest run of passage words that the text holds in order within the edit budget, or None if it is shorter than share."""
-    m, least = len(passage), max(1, math.ceil(len(passage) * share - 1e-9))
-    if not text:
-        return None
+def regrouped(passage: list[str], text: list[str]) -> tuple[list[str], np.ndarray]:
+    """(words, first letter of each) of a text, with words joined or parted where that makes words of the passage: spacing does not count."""
     known = set(passage)
     pairs = {a + b: (a, b) for a, b in zip(passage, passage[1:], strict=False)}
     words: list[str] = []
-    for w in text:  # spacing does not count: words that were joined or parted in the text
+    for w in text:
         if w not in known and w in pairs:
             words += pairs[w]
         elif words and w not in known and words[-1] + w in known:
             words[-1] += w
         else:
             words.append(w)
-    number = {w: i for i, w in enumerate(known)}
+    return words, np.cumsum([0, *map(len, words)])[:-1]
+
+
+def run_in(passage: list[str], text: list[str], share: float, rate: float, hits: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[int, int] | None:
+    """(words, edits) of the longest run of passage words that the text holds in order within the edit budget, or None if it is shorter than share.
+
+    hits (letters of the text, words of the passage) say where to look: each word added or dropped moves the alignment by one
+    diagonal, so bands of so many diagonals around those of the hits hold every run. Without hits all diagonals are searched.
+    """
+    m = len(passage)
+    if not text:
+        return None
+    words, first = regrouped(passage, text)
+    edits = math.ceil(m * rate - 1e-9)
+    if hits is None:
+        bands = [(-m, len(words))]
+    else:
+        bands = []
+        for d in np.unique(np.searchsorted(first, hits[0], side="right") - 1 - hits[1]).tolist():
+            if not bands or d > bands[-1][0] + 2 * edits + 2:  # the hits of a run span at most as many diagonals as it has edits, and one for words joined otherwise
+                bands.append((d - edits - 1, d + 3 * edits + 3))
+    number = {w: i for i, w in enumerate(dict.fromkeys(passage))}
     a = np.array([number[w] for w in passage])
     b = np.array([number.get(w, -1) for w in words])
-    n = len(b)
-    step = np.arange(n + 1, dtype=np.int32)
-    score = np.zeros((m + 1, n + 1), np.int32)
+    found = [aligned(a, b, lo, hi, share, rate) for lo, hi in bands]
+    return max((x for x in found if x), key=lambda x: (x[0], -x[1]), default=None)
+
+
+def aligned(a: np.ndarray, b: np.ndarray, low: int, high: int, share: float, rate: float) -> tuple[int, int] | None:
+    """run_in of word numbers a in b, on the diagonals (place in b less place in a) low to high."""
+    m, n = len(a), len(b)
+    width = high - low + 1
+    least = max(1, math.ceil(m * share - 1e-9))
+    # cell d of row i stands for the first i words of a and the first i + low + d of b
+    padded = np.concatenate([np.full(m + abs(low) + 2, -2), b, np.full(m + abs(high) + 2, -2)])
+    zero = m + abs(low) + 2
+    step = np.arange(width, dtype=np.int32)
+    score = np.zeros((m + 1, width), np.int32)
     for i in range(1, m + 1):
         prev, row = score[i - 1], score[i]
-        row[1:] = np.maximum(prev[:-1] + np.where(b == a[i - 1], 1, -1), prev[1:] - 1)
+        at = zero + i - 1 + low
+        here = padded[at : at + width] if 0 <= at and at + width <= len(padded) else np.array([padded[x] if 0 <= x < len(padded) else -2 for x in range(at, at + width)])
+        row[:] = prev + np.where(here == a[i - 1], 1, -1)
+        row[:-1] = np.maximum(row[:-1], prev[1:] - 1)
         np.maximum(row, 0, out=row)
+        outside = i + low + step
+        row[(outside < 0) | (outside > n)] = 0
         row[:] = np.maximum.accumulate(row + step) - step
-    i, j = (int(x) for x in np.unravel_index(int(score.argmax()), score.shape))
+    i, d = (int(x) for x in np.unravel_index(int(score.argmax()), score.shape))
     trail: list[tuple[int, int]] = []  # of each step from the end: passage words, edits
-    while score[i, j] > 0:
-        s = score[i, j]
-        if i and j and s == score[i - 1, j - 1] + (1 if a[i - 1] == b[j - 1] else -1):
+    while i >= 0 and score[i, d] > 0:
+        s, j = score[i, d], i + low + d
+        if i and 0 < j <= n and s == score[i - 1, d] + (1 if a[i - 1] == b[j - 1] else -1):
             trail.append((1, int(a[i - 1] != b[j - 1])))
-            i, j = i - 1, j - 1
-        elif i and s == score[i - 1, j] - 1:
-            trail.append((1, 1))
             i -= 1
-        else:
+        elif i and d + 1 < width and s == score[i - 1, d + 1] - 1:
+            trail.append((1, 1))
+            i, d = i - 1, d + 1
+        elif d and s == score[i, d - 1] - 1:
             trail.append((0, 1))
-            j -= 1
+            d -= 1
+        else:
+            break
     w = np.concatenate([[0], np.cumsum([x for x, _ in trail])])
     e = np.concatenate([[0], np.cumsum([x for _, x in trail])])
     best = None
@@ -329,6 +402,17 @@ def pieces(text: str, overlap: int) -> Iterator[str]:
             break
 
 
+_index: tuple[str, Index] | None = None
+
+
+def index_of(name: str, items: list[tuple[int, str]], share: float, rate: float) -> Index:
+    """The index of a block of items, made once in each Python worker."""
+    global _index
+    if _index is None or _index[0] != name:
+        _index = name, Index(items, share, rate)
+    return _index[1]
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -359,10 +443,10 @@ def find_leaks(
     found = None
     for block in range(blocks):
         some = [(r["i"], r["p"]) for r in queries.where(of_block == block).toLocalIterator()]
-        given = spark.sparkContext.broadcast((some, share, edit_rate))
+        given = spark.sparkContext.broadcast((uuid.uuid4().hex, some, share, edit_rate))
 
         def leaks(batches: Iterator[pa.RecordBatch], given=given, id_type=id_type, item_type=item_type) -> Iterator[pa.RecordBatch]:
-            index = Index(*given.value)
+            index = index_of(*given.value)
 
             def of(ids: list, texts: list[str]) -> pa.RecordBatch:
                 rows = [(index.ids[k], ids[t], n, len(index.words[k]), e) for k, t, n, e in index.scan(texts)]

@@ -92,3 +92,66 @@ def test_hashes_depend_on_all_letters():
         grams = ["abcabcabcabd"[i : i + q] for i in range(12 - q + 1)]
         assert len(h) == len(grams)
         assert all((h[i] == h[j]) == (grams[i] == grams[j]) for i in range(len(grams)) for j in range(len(grams)))
+
+
+def words_kept(p, words, share, rate):
+    """Longest run of p that words hold within the budget, by trying every run against every place (edit distance of words)."""
+    best = 0
+    for i in range(len(p)):
+        for n in range(len(p) - i, max(1, -(-int(len(p) * share * 1000) // 1000)) - 1, -1):
+            if n <= best or n < share * len(p) - 1e-9:
+                break
+            row = [0] * (len(words) + 1)  # may begin anywhere
+            for x in p[i : i + n]:
+                before, row[0], diag = row[0], row[0] + 1, row[0]
+                for j, y in enumerate(words, 1):
+                    diag, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diag + (x != y))
+            if min(row) <= int(n * rate + 1e-9):
+                best = n
+    return best
+
+
+def test_long_added_words():
+    rng = random.Random(9)
+    for m in (20, 40, 100):
+        for x in (1, 15, 60, 120, 200, 400, 2000):
+            for many in (1, 2, int(0.4 * m * 0.1) + 1):
+                p = passage(rng, m)
+                n = int(0.4 * m) + 2 + 10 * (many - 1)
+                if n > m or many > int(n * 0.1):
+                    continue
+                at = rng.randrange(m - n + 1)
+                run = p[at : at + n]
+                for k in range(many):  # apart, so that each parts the run
+                    run.insert(5 + 9 * k, "".join(rng.choice("qxzw0123") for _ in range(x)))
+                text = passage(rng, 30) + run + passage(rng, 30)
+                assert words_kept(p, text, 0.4, 0.1)
+                got = list(L.Index([(1, " ".join(p))], 0.4, 0.1).scan([" ".join(text)]))
+                assert got and got[0][2] >= 0.4 * m, (m, x, many)
+
+
+def test_random_edits_against_brute_force():
+    rng = random.Random(10)
+    n_true = 0
+    for trial in range(60):
+        p = passage(rng, rng.randrange(12, 40))
+        n = rng.randrange(int(0.3 * len(p)), len(p) + 1)
+        at = rng.randrange(len(p) - n + 1)
+        run = []
+        for w in p[at : at + n]:
+            r = rng.random()
+            run += [] if r < 0.03 else [w, "y" * rng.randrange(1, 300)] if r < 0.06 else ["changed"] if r < 0.09 else [w]
+        text = passage(rng, 20) + run + passage(rng, 20)
+        if words_kept(p, text, 0.4, 0.1):
+            n_true += 1
+            assert list(L.Index([(1, " ".join(p))], 0.4, 0.1).scan([" ".join(text)])), trial
+    assert n_true > 20
+
+
+def test_letters_above_the_first_plane_and_long_passages():
+    assert L.Folded(["\U00010400\U0001d7d8 \U00020000"]).codes.tolist() == [0x10400, 0x1D7D8, 0x20000]
+    rng = random.Random(11)
+    p = passage(rng, 6000)
+    text = passage(rng, 100) + p[1000:4000] + passage(rng, 100)
+    got = list(L.Index([(1, " ".join(p))], 0.4, 0.1).scan([" ".join(text)]))
+    assert got and got[0][2] >= 3000
