@@ -197,6 +197,7 @@ class Index:
             h = gram_hashes(f.codes, q)
             found.setdefault(q, []).append((h, np.full(len(h), k), np.arange(len(h))))
         self.bound, self.width, self.size, self.edits = (np.array(x, np.int64) for x in (bound, width, size, edits))
+        self.bare = (self.edits + 1) * (np.array(self.q, np.int64) + 1)
         self.grams = {}
         for q, parts in found.items():
             h, k, p = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -237,57 +238,59 @@ class Index:
         if not len(item):
             return
         pair = item * len(texts) + text
-        order = np.argsort((pair << 34) + band, kind="stable")
+        order = np.lexsort((at, pair))
         pair, band, place, at = pair[order], band[order], place[order], at[order]
-        new = np.ones(len(pair), bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (band[1:] != band[:-1])
+        item = pair // len(texts)
+        # hits of one pair are parted where a run could not hold so many words without one: its edits, each with a rest of fewer than q letters beside it
+        word = f.word_of[at].astype(np.int64)
+        apart = np.ones(len(pair), bool)
+        apart[1:] = (pair[1:] != pair[:-1]) | (word[1:] - word[:-1] > self.bare[item[1:]])
+        start = np.flatnonzero(apart)
+        end = np.append(start[1:], len(pair))
+        cluster, item = np.cumsum(apart) - 1, item[start]
+        # a passage q-gram that comes again counts once
+        once = np.lexsort((place, cluster))
+        distinct = np.add.reduceat(np.append(True, (cluster[once][1:] != cluster[once][:-1]) | (place[once][1:] != place[once][:-1])), start, dtype=np.int64)
+        some = np.flatnonzero((distinct >= self.bound[item])[cluster])
+        if not len(some):
+            return
+        by = some[np.lexsort((band[some], cluster[some]))]
+        new = np.ones(len(by), bool)
+        new[1:] = (cluster[by][1:] != cluster[by][:-1]) | (band[by][1:] != band[by][:-1])
         head = np.flatnonzero(new)
-        n = np.diff(np.append(head, len(pair)))
-        banded, band = pair[head], band[head]
+        n = np.diff(np.append(head, len(by)))
+        banded, number = cluster[by][head], band[by][head]
         # overlapping bands: each counts its own hits and the next band's
         beside = np.zeros(len(n), np.int64)
-        follows = (banded[1:] == banded[:-1]) & (band[1:] == band[:-1] + 1)
+        follows = (banded[1:] == banded[:-1]) & (number[1:] == number[:-1] + 1)
         beside[:-1][follows] = n[1:][follows]
-        # the fullest bands of each pair, one more than there may be edits
+        # the fullest bands of each cluster, one more than there may be edits
         fullest = np.lexsort((-(n + beside), banded))
         banded, total = banded[fullest], (n + beside)[fullest]
         first = np.flatnonzero(np.append(True, banded[1:] != banded[:-1]))
         rank = np.arange(len(banded)) - np.repeat(first, np.diff(np.append(first, len(banded))))
-        held = np.add.reduceat(np.where(rank <= self.edits[banded // len(texts)], total, 0), first)
-        # a passage q-gram that comes again counts once
-        once = np.lexsort((place, pair))
-        distinct = np.add.reduceat(np.append(True, (pair[once][1:] != pair[once][:-1]) | (place[once][1:] != place[once][:-1])), np.flatnonzero(np.append(True, pair[1:] != pair[:-1])), dtype=np.int64)
-        least = self.bound[banded[first] // len(texts)]
-        for p in banded[first][(held >= least) & (distinct >= least)].tolist():
-            k, t = divmod(p, len(texts))
-            lo, hi = np.searchsorted(pair, [p, p + 1])
-            got = self.verify(f, k, int(f.bounds[t]), int(f.bounds[t + 1]), at[lo:hi], place[lo:hi])
-            if got:
-                yield k, t, *got
+        held = np.add.reduceat(np.where(rank <= self.edits[item[banded]], total, 0), first)
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for c in banded[first][held >= self.bound[item[banded[first]]]].tolist():
+            k, t = divmod(int(pair[start[c]]), len(texts))
+            got = self.verify(f, k, int(f.bounds[t]), int(f.bounds[t + 1]), at[start[c] : end[c]], place[start[c] : end[c]])
+            if got and got > best.get((k, t), (0, 0)):
+                best[k, t] = got
+        for (k, t), got in best.items():
+            yield k, t, *got
 
     def verify(self, f: Folded, k: int, start: int, end: int, at: np.ndarray, place: np.ndarray) -> tuple[int, int] | None:
-        """(words, edits) of the longest run of item k in the text of letters start to end, from its hits (text and passage positions)."""
-        order = np.argsort(at, kind="stable")
-        at, place = at[order], place[order]
-        word = f.word_of[at].astype(np.int64)
-        # words without a hit that a run can hold: its edits, each with a rest of fewer than q letters beside it
-        bare = (int(self.edits[k]) + 1) * (self.q[k] + 1)
-        cuts = np.flatnonzero(np.diff(word) > bare) + 1
-        best = None
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True):
-            if not self.may_hold(k, place[a:b]):
-                continue
-            lo = max(start, int(f.word_at[max(0, word[a] - bare)]))
-            hi = min(end, int(f.word_at[min(len(f.word_at) - 1, word[b - 1] + self.q[k] + bare)]))
-            found = run_in(self.words[k], f.words(lo, hi), self.share, self.rate, (at[a:b] - lo, np.searchsorted(self.word_at[k], place[a:b], side="right") - 1))
-            if found and (best is None or found > best):
-                best = found
-        return best
+        """(words, edits) of the longest run of item k among hits (text and passage positions, in text order) of the text of letters start to end."""
+        if not self.may_hold(k, place):
+            return None
+        first, last = int(f.word_of[at[0]]), int(f.word_of[at[-1]])
+        bare = int(self.bare[k])
+        lo = max(start, int(f.word_at[max(0, first - bare)]))
+        hi = min(end, int(f.word_at[min(len(f.word_at) - 1, last + self.q[k] + bare)]))
+        return run_in(self.words[k], f.words(lo, hi), self.share, self.rate, (at - lo, np.searchsorted(self.word_at[k], place, side="right") - 1), int(self.bound[k]))
 
     def may_hold(self, k: int, places: np.ndarray) -> bool:
         """Whether the passage positions hit leave some run of item k that can count."""
-        if len(places) < self.bound[k] or len(np.unique(places)) < self.bound[k]:
-            return False
         q, word_at = self.q[k], self.word_at[k]
         seen = np.zeros(int(word_at[-1]) + 1, np.int32)
         seen[places + 1] = 1
@@ -318,11 +321,11 @@ def regrouped(passage: list[str], text: list[str]) -> tuple[list[str], np.ndarra
     return words, np.cumsum([0, *map(len, words)])[:-1]
 
 
-def run_in(passage: list[str], text: list[str], share: float, rate: float, hits: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[int, int] | None:
+def run_in(passage: list[str], text: list[str], share: float, rate: float, hits: tuple[np.ndarray, np.ndarray] | None = None, needed: int = 1) -> tuple[int, int] | None:
     """(words, edits) of the longest run of passage words that the text holds in order within the edit budget, or None if it is shorter than share.
 
     hits (letters of the text, words of the passage) say where to look: each word added or dropped moves the alignment by one
-    diagonal, so bands of so many diagonals around those of the hits hold every run. Without hits all diagonals are searched.
+    diagonal, so bands of so many diagonals around those of the hits hold every run; a band must hold the needed number of them. Without hits all diagonals are searched.
     """
     m = len(passage)
     if not text:
@@ -333,9 +336,11 @@ def run_in(passage: list[str], text: list[str], share: float, rate: float, hits:
         bands = [(-m, len(words))]
     else:
         bands = []
-        for d in np.unique(np.searchsorted(first, hits[0], side="right") - 1 - hits[1]).tolist():
+        diagonals = np.sort(np.searchsorted(first, hits[0], side="right") - 1 - hits[1])
+        for d in np.unique(diagonals).tolist():
             if not bands or d > bands[-1][0] + 2 * edits + 2:  # the hits of a run span at most as many diagonals as it has edits, and one for words joined otherwise
                 bands.append((d - edits - 1, d + 3 * edits + 3))
+        bands = [(lo, hi) for lo, hi in bands if np.searchsorted(diagonals, hi, side="right") - np.searchsorted(diagonals, lo) >= needed]
     number = {w: i for i, w in enumerate(dict.fromkeys(passage))}
     a = np.array([number[w] for w in passage])
     b = np.array([number.get(w, -1) for w in words])
