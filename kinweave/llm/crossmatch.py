@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,8 +62,8 @@ def encoded(forms: DataFrame) -> DataFrame:
     return forms.select("rid", *PLAIN, "core", initials.alias("initials")).mapInArrow(run, schema)
 
 
-def key_rows(forms: DataFrame, fields: str) -> DataFrame:
-    """(key, rid, fold, loose): the keys of encoded forms, of names within the blocks of fields, or with fields = 'n' of streets within the house number."""
+def key_rows(forms: DataFrame, fields: str, keep: Broadcast | None = None) -> DataFrame:
+    """(key, rid, fold, loose): the keys of encoded forms, of names within the blocks of fields, or with fields = 'n' of streets within the house number; only those in keep."""
     vector, radius = ("street", STREET_RADIUS) if fields == "n" else ("letters", RADIUS)
     used = ["rid", "lines", "country", "number", f"{vector}_bits", "loose_bits"]
 
@@ -78,6 +79,8 @@ def key_rows(forms: DataFrame, fields: str) -> DataFrame:
                 row, block = G.spread(b.column("lines").to_pylist(), b.column("country").to_pylist(), fields)
             at, key = G.chunk_keys(bits[row], radius)
             key = G.stir(key ^ block[at])
+            kept = G.passes(keep, key)
+            at, key = at[kept], key[kept]
             rid = b.column("rid").to_numpy()
             whole = row[at]
             for lo in range(0, len(at), 1 << 17):
@@ -102,21 +105,21 @@ def dice(field: str) -> Column:
     return F.when(each > 0, 2.0 * both / each).otherwise(0.0)
 
 
-def meet(x: DataFrame, y: DataFrame, fields: str) -> DataFrame:
-    """(a, b) with a key in common whose folds are within the radius. The planner doesn't see that keys are many to a row, so it may not broadcast them."""
-    p = key_rows(x, fields).withColumnsRenamed({"rid": "a", "fold": "fold_a", "loose": "loose_a"})
-    q = key_rows(y, fields).withColumnsRenamed({"rid": "b", "fold": "fold_b", "loose": "loose_b"})
-    near = differ(F.col("fold_a"), F.col("fold_b")) <= (STREET_RADIUS if fields == "n" else RADIUS)
-    if fields != "n":
-        near &= differ(F.col("loose_a"), F.col("loose_b")) <= LOOSE_RADIUS
+def meet(x: DataFrame, y: DataFrame, radius: int, loose_radius: int | None) -> DataFrame:
+    """(a, b) of key rows with a key in common whose folds are within the radius. The planner doesn't see that keys are many to a row, so it may not broadcast them."""
+    p = x.withColumnsRenamed({"rid": "a", "fold": "fold_a", "loose": "loose_a"})
+    q = y.withColumnsRenamed({"rid": "b", "fold": "fold_b", "loose": "loose_b"})
+    near = differ(F.col("fold_a"), F.col("fold_b")) <= radius
+    if loose_radius is not None:
+        near &= differ(F.col("loose_a"), F.col("loose_b")) <= loose_radius
     return p.hint("merge").join(q.hint("merge"), "key").where(near).select("a", "b")
 
 
 def close_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """(a, b), distinct: encoded forms that may be one business by name or stand at one house number of like streets, before the whole vectors are compared."""
     placed, named = "number <> '' AND street <> ''", "acronym = ''"
-    parts = [meet(left.where(placed), right.where(placed), "n")]
-    parts += [meet(left.where(named).where(x), right.where(named).where(y), fields) for x, y, fields in G.BLOCKS]
+    parts = [meet(key_rows(left.where(placed), "n"), key_rows(right.where(placed), "n"), STREET_RADIUS, None)]
+    parts += [meet(x, y, RADIUS, LOOSE_RADIUS) for x, y in G.block_rows(left.where(named), right.where(named), key_rows)]
     return union_all(parts).distinct()
 
 

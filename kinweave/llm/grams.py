@@ -11,29 +11,34 @@ keys below are joined within each.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
+
+from kinweave.session import union_all
 
 VOWELS = re.compile("[aeiou]")
 LINE, PLACE = "lines <> ''", "country <> ''"
-# (condition of the left rows, condition of the right rows, fields in the key: l for lines, c for country)
+# condition of the left rows, condition of the right rows, fields in the key (l for lines, c for country), the side whose rows are few because they lack a field
 BLOCKS = [
-    (f"{LINE} AND {PLACE}", f"{LINE} AND {PLACE}", "lc"),
-    (f"{LINE} AND NOT {PLACE}", LINE, "l"),
-    (f"{LINE} AND {PLACE}", f"{LINE} AND NOT {PLACE}", "l"),
-    (f"NOT {LINE} AND {PLACE}", PLACE, "c"),
-    (f"{LINE} AND {PLACE}", f"NOT {LINE} AND {PLACE}", "c"),
-    (f"NOT {LINE} AND NOT {PLACE}", "true", ""),
-    (f"{LINE} OR {PLACE}", f"NOT {LINE} AND NOT {PLACE}", ""),
-    (f"{LINE} AND NOT {PLACE}", f"NOT {LINE} AND {PLACE}", ""),
-    (f"NOT {LINE} AND {PLACE}", f"{LINE} AND NOT {PLACE}", ""),
+    (f"{LINE} AND {PLACE}", f"{LINE} AND {PLACE}", "lc", ""),
+    (f"{LINE} AND NOT {PLACE}", LINE, "l", "left"),
+    (f"{LINE} AND {PLACE}", f"{LINE} AND NOT {PLACE}", "l", "right"),
+    (f"NOT {LINE} AND {PLACE}", PLACE, "c", "left"),
+    (f"{LINE} AND {PLACE}", f"NOT {LINE} AND {PLACE}", "c", "right"),
+    (f"NOT {LINE} AND NOT {PLACE}", "true", "", "left"),
+    (f"{LINE} OR {PLACE}", f"NOT {LINE} AND NOT {PLACE}", "", "right"),
+    (f"{LINE} AND NOT {PLACE}", f"NOT {LINE} AND {PLACE}", "", "left"),
+    (f"NOT {LINE} AND {PLACE}", f"{LINE} AND NOT {PLACE}", "", "left"),
 ]
 # of a table with itself, where every pair need be met in one direction only
 OWN_BLOCKS = [BLOCKS[k] for k in (0, 1, 3, 5, 7)]
-ONE = np.uint64(1)
+FILTER_BITS = 24
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -151,3 +156,42 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array
 
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
+
+
+def key_filter(rows: DataFrame) -> Broadcast:
+    """A bit map of the keys of rows, 2 MB whatever their number: rows of the other side whose key is not in it can meet none of them and need not be shuffled."""
+    size = (1 << FILTER_BITS) // 64
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.unique(b.column("key").to_numpy() & ((1 << FILTER_BITS) - 1))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 12), pa.array(at & 4095)], ["page", "at"])
+
+    def page(table: pa.Table) -> pa.Table:
+        on = np.zeros(4096, bool)
+        on[table.column("at").to_numpy()] = True
+        return pa.table({"page": table.column("page").slice(0, 1), "bits": pa.array([np.packbits(on, bitorder="little").tobytes()], pa.binary())})
+
+    found = rows.select("key").mapInArrow(places, "page long, at long").distinct().groupBy("page").applyInArrow(page, "page long, bits binary")
+    held = np.zeros((size // 64, 512), np.uint8)
+    for r in found.collect():  # at most 4096 rows of 512 bytes
+        held[r["page"]] = np.frombuffer(r["bits"], np.uint8)
+    return rows.sparkSession.sparkContext.broadcast(held.ravel())
+
+
+def passes(filter: Broadcast | None, key: np.ndarray) -> np.ndarray:
+    """Which keys may be in the filter; all without one."""
+    if filter is None:
+        return np.ones(len(key), bool)
+    at = key & np.uint64((1 << FILTER_BITS) - 1)
+    return (filter.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def block_rows(left: DataFrame, right: DataFrame | None, rows: Callable[[DataFrame, str, Broadcast | None], DataFrame]) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The key rows (of rows(table, fields, filter)) of both sides of every block, without those that the few rows of the other side rule out. right None stands for left itself."""
+    blocks = OWN_BLOCKS if right is None else BLOCKS
+    other = left if right is None else right
+    few = {s: [(t.where(x if s == "left" else y), f) for x, y, f, lack in blocks if lack == s] for s, t in (("left", left), ("right", other))}
+    filters = {s: key_filter(union_all([rows(t, f, None).select("key") for t, f in parts])) for s, parts in few.items() if parts}
+    for x, y, fields, lack in blocks:
+        yield rows(left.where(x), fields, filters["right"] if lack == "right" else None), rows(other.where(y), fields, filters["left"] if lack == "left" else None)
