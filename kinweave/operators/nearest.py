@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kinweave.functions.text import default_prefixes, prepare_text
 from kinweave.operators.topk import cap_global
-from kinweave.session import cut, union_all
+from kinweave.session import broadcast_if_small, cut, union_all
 
 Embedder = Callable[[list[str]], np.ndarray]
 
@@ -70,39 +70,46 @@ def top_k(scored: DataFrame, k: int, by: list[str], id_col: str = "right_id") ->
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def flat_search(queries: DataFrame, base: DataFrame, k: int, on: list[str], block: int = 4096) -> DataFrame:
+def flat_search(queries: DataFrame, base: DataFrame, k: int, on: list[str], block: int = 4096, ask: int = 8192) -> DataFrame:
     """(on, left_id, right_id, score, rank): exact inner-product top k of each query among base vectors with equal on.
 
-    queries: (on, id, vec); base: the same. Base vectors are cut to blocks by hash; every block answers the queries of its
-    group by one matrix product and keeps k, so no group sits in one task, and at most k rows a query and block are merged.
+    queries: (on, id, vec); base: the same. Both sides are cut to blocks by hash, of about block and ask rows; every two blocks
+    of a group meet in one matrix product that keeps k a query, so no group sits in one task, and at most k rows a query and block are merged.
     """
-    sizes = base.groupBy(*on).agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    b = base.join(F.broadcast(sizes), on).select(*on, F.col("id").alias("rid"), "vec", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("side"))
-    q = queries.join(F.broadcast(sizes), on).select(*on, F.col("id").alias("rid"), "vec", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("side"))
+    count = lambda df, n, size: df.groupBy(*on).agg(F.ceil(F.count("*") / size).cast("int").alias(n))
+    sizes = broadcast_if_small(count(base, "blocks", block).join(count(queries, "parts", ask), on) if on else count(base, "blocks", block).crossJoin(count(queries, "parts", ask)))
+    piece = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    meet = lambda df: df.join(sizes, on) if on else df.crossJoin(sizes)
+    b = meet(base).where("blocks > 0 AND parts > 0").select(*on, F.col("id").alias("rid"), "vec", piece("blocks").alias("block"), every("parts").alias("part"), F.lit(1).alias("side"))
+    q = meet(queries).where("blocks > 0 AND parts > 0").select(*on, F.col("id").alias("rid"), "vec", every("blocks").alias("block"), piece("parts").alias("part"), F.lit(0).alias("side"))
     t = dict(base.dtypes)["id"]
     keys = ", ".join(f"`{c}` {dict(base.dtypes)[c]}" for c in on)
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1].sort_values("rid")
-        cols = [*on, "left_id", "right_id", "score"]
         if not len(left) or not len(right):
-            return pd.DataFrame({c: pd.Series(dtype=float if c == "score" else pdf[c if c in on else "rid"].dtype) for c in cols})
+            return nothing(pdf, on)
         y = np.stack(right["vec"].to_numpy()).astype(np.float64)
-        ids = right["rid"].to_numpy()
-        out = []
-        m = min(k, len(ids))
-        for lo in range(0, len(left), 1024):
-            part = left.iloc[lo : lo + 1024]
-            s = np.stack(part["vec"].to_numpy()).astype(np.float64) @ y.T
-            # ties by id: the base is in id order and the sort is stable
-            best = np.argsort(-s.round(12), axis=1, kind="stable")[:, :m]
-            out.append(pd.DataFrame({"left_id": np.repeat(part["rid"].to_numpy(), m), "right_id": ids[best].ravel(), "score": np.take_along_axis(s, best, 1).ravel()}))
-        return pd.concat(out).assign(**{c: pdf[c].iloc[0] for c in on})[cols]
-
-    found = q.unionByName(b).groupBy(*on, "block").applyInPandas(search, f"{keys + ', ' if on else ''}left_id {t}, right_id {t}, score double")
+        found = [best_of(left.iloc[lo : lo + 1024], y, right["rid"].to_numpy(), k) for lo in range(0, len(left), 1024)]
+        return pd.concat(found).assign(**{c: pdf[c].iloc[0] for c in on})[[*on, "left_id", "right_id", "score"]]
+
+    found = q.unionByName(b).groupBy(*on, "block", "part").applyInPandas(search, f"{keys + ', ' if on else ''}left_id {t}, right_id {t}, score double")
     return top_k(found, k, [*on, "left_id"])
 
 
+def nothing(pdf: pd.DataFrame, on: list[str]) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series(dtype=float if c == "score" else pdf[c if c in on else "rid"].dtype) for c in [*on, "left_id", "right_id", "score"]})
+
+
+def best_of(left: pd.DataFrame, y: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
+    """The k best rows of y, in id order, for each query of left; ties by id."""
+    m = min(k, len(ids))
+    s = np.stack(left["vec"].to_numpy()).astype(np.float64) @ y.T
+    best = np.argsort(-s.round(12), axis=1, kind="stable")[:, :m]
+    return pd.DataFrame({"left_id": np.repeat(left["rid"].to_numpy(), m), "right_id": ids[best].ravel(), "score": np.take_along_axis(s, best, 1).ravel()})
+
+
 def kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 0) -> np.ndarray:
     c = x[np.random.default_rng(seed).choice(len(x), min(k, len(x)), replace=False)].astype(np.float64)
     for _ in range(rounds):
@@ -120,78 +127,120 @@ def nearest_of(x: np.ndarray, c: np.ndarray, n: int = 1) -> np.ndarray:
     return np.argsort(d, axis=1, kind="stable")[:, :n]
 
 
-def ivf_search(queries: DataFrame, base: DataFrame, k: int, on: list[str], train_size: int = 20_000, nprobe: int = 32, pq_parts: int | None = None, rescore: int = 4) -> DataFrame:
-    """As flat_search, but a query meets only the base vectors of its nprobe nearest cells.
+def ivf_search(queries: DataFrame, base: DataFrame, k: int, on: list[str], train_size: int = 20_000, nprobe: int | None = None, pq_parts: int | None = None, rescore: int = 16, target: float = 0.97, flat_rows: int = 20_000, cell_rows: int = 4096) -> DataFrame:
+    """As flat_search, approximately: a query meets only the base vectors of its nearest cells.
 
-    Cells are k-means centroids fitted on a sample of at most train_size vectors, those with the smallest id hashes; every vector is
-    indexed. With pq_parts, vectors are compared by product-quantised codes first and the best rescore * k exactly.
+    Every group of on has cells of its own, k-means centroids fitted on its at most train_size vectors with the smallest id hashes;
+    every vector is indexed. A query probes its nprobe nearest cells; by default as many as 256 vectors of the sample need to find the
+    share target of their k nearest in the sample, so that vectors without clusters are searched more widely. Groups of at most flat_rows are searched exactly. With pq_parts, vectors
+    are stored as product-quantised codes beside their ids, compared by table lookup, and the best rescore * k of a cell exactly. A large
+    cell is dealt to pieces of about cell_rows by hash.
     """
+    groups = base.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > flat_rows).collect()  # at most rows / flat_rows
+    large = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(r[c])) for c in on], F.lit(True)) for r in groups]
+    small = reduce(Column.__and__, [~at for at in large], F.lit(True))
+    parts = [flat_search(queries.where(small), base.where(small), k, on)]
+    return union_all([*parts, *[_indexed(queries.where(at), base.where(at), r["n"], k, on, train_size, nprobe, pq_parts, rescore, target, cell_rows) for at, r in zip(large, groups, strict=True)]])
+
+
+def _indexed(queries: DataFrame, base: DataFrame, n: int, k: int, on: list[str], train_size: int, nprobe: int | None, pq_parts: int | None, rescore: int, target: float, cell_rows: int) -> DataFrame:
+    """ivf_search within one group of n vectors."""
     spark = base.sparkSession
-    n = base.count()
-    if not n:
-        return flat_search(queries, base, k, on)
     sample = np.array([r["vec"] for r in base.select("vec", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(train_size).collect()], np.float64)
-    cells = max(1, min(4096, int(4 * math.sqrt(n)), len(sample)))
-    probe = min(cells, nprobe)
+    cells = kmeans(sample, max(1, min(4096, int(4 * math.sqrt(n)), len(sample) // 4)))
+    own = nearest_of(sample, cells)[:, 0]
+    held = np.bincount(own, minlength=len(cells)) / len(sample)
+    nprobe = nprobe or probes_needed(sample, own, cells, k, target)
+    pieces = np.maximum(1, np.ceil(held * n / cell_rows)).astype(np.int64)
     books = None
     if pq_parts:
-        d = sample.shape[1]
-        while d % pq_parts:
+        while sample.shape[1] % pq_parts:
             pq_parts -= 1
         books = [kmeans(p, min(256, len(p)), seed=1) for p in np.split(sample, pq_parts, axis=1)]
-    held = spark.sparkContext.broadcast((kmeans(sample, cells), books))
-    keys = ", ".join(f"`{c}` {dict(base.dtypes)[c]}" for c in on)
+    index = spark.sparkContext.broadcast((cells, pieces, books))
+    keys = "".join(f"`{c}` {dict(base.dtypes)[c]}, " for c in on)
     t = dict(base.dtypes)["id"]
-    head = f"{keys + ', ' if on else ''}"
-
-    def cell_of(many: int) -> Callable:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                x = np.stack(pdf["vec"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, held.value[0].shape[1]))
-                yield pdf.assign(cells=list(nearest_of(x, held.value[0], many).astype(np.int32)))
 
-        return run
-
-    place = lambda df, many: df.select(*on, "id", "vec").mapInPandas(cell_of(many), f"{head}id {t}, vec array<float>, cells array<int>").select(*on, F.col("id").alias("rid"), "vec", F.explode("cells").alias("cell"))
-    b, q = place(base, 1).withColumn("side", F.lit(1)), place(queries, probe).withColumn("side", F.lit(0))
+    def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cells, pieces, books = index.value
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+            cell = nearest_of(x, cells)[:, 0]
+            codes = [np.stack([nearest_of(p, c)[:, 0] for p, c in zip(np.split(x, len(books), axis=1), books, strict=True)], axis=1).astype(np.uint8)] if books else None
+            yield pdf.assign(cell=cell.astype(np.int32), part=(pdf["h"].to_numpy() % pieces[cell]).astype(np.int32), code=[c.tobytes() for c in codes[0]] if books else b"", side=1)
+
+    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cells, pieces, _ = index.value
+        for pdf in batches:
+            for lo in range(0, len(pdf), 2048):
+                some = pdf.iloc[lo : lo + 2048]
+                near = nearest_of(np.stack(some["vec"].to_numpy()).astype(np.float64), cells, nprobe)
+                row, cell = np.repeat(np.arange(len(some)), near.shape[1]), near.ravel()
+                many = pieces[cell]
+                row, cell = np.repeat(row, many), np.repeat(cell, many)
+                part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                yield some.iloc[row].assign(cell=cell.astype(np.int32), part=part.astype(np.int32), code=b"", side=0)
+
+    placed = f"{keys}rid {t}, vec array<float>, h long, cell int, part int, code binary, side int"
+    rows = lambda df: df.select(*on, F.col("id").alias("rid"), "vec", F.pmod(F.xxhash64("id"), F.lit(1 << 30)).alias("h"))
+    b = cut(rows(base).mapInPandas(store, placed))  # the index: every vector's cell, piece and code
+    q = rows(queries).mapInPandas(probe, placed)
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1].sort_values("rid")
-        cols = [*on, "left_id", "right_id", "score"]
         if not len(left) or not len(right):
-            return pd.DataFrame({c: pd.Series(dtype=float if c == "score" else pdf[c if c in on else "rid"].dtype) for c in cols})
+            return nothing(pdf, on)
         y, ids = np.stack(right["vec"].to_numpy()).astype(np.float64), right["rid"].to_numpy()
-        x, who = np.stack(left["vec"].to_numpy()).astype(np.float64), left["rid"].to_numpy()
-        m = min(k, len(ids))
-        books = held.value[1]
-        if books:
-            codes = [nearest_of(p, c)[:, 0] for p, c in zip(np.split(y, len(books), axis=1), books, strict=True)]
-            rough = sum((p @ c.T)[:, code] for p, c, code in zip(np.split(x, len(books), axis=1), books, codes, strict=True))
-            pick = np.sort(np.argsort(-rough, axis=1, kind="stable")[:, : min(len(ids), rescore * k)], axis=1)
+        books = index.value[2]
+        out = []
+        for lo in range(0, len(left), 1024):
+            some = left.iloc[lo : lo + 1024]
+            if not books or len(ids) <= rescore * k:
+                out.append(best_of(some, y, ids, k))
+                continue
+            x = np.stack(some["vec"].to_numpy()).astype(np.float64)
+            codes = np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(ids), -1)
+            rough = sum((p @ c.T)[:, codes[:, j]] for j, (p, c) in enumerate(zip(np.split(x, len(books), axis=1), books, strict=True)))
+            pick = np.sort(np.argpartition(-rough, rescore * k, axis=1)[:, : rescore * k], axis=1)
             s = np.einsum("ij,ikj->ik", x, y[pick])
-            best = np.argsort(-s.round(12), axis=1, kind="stable")[:, :m]
-            at, s = np.take_along_axis(pick, best, 1), np.take_along_axis(s, best, 1)
-        else:
-            s = x @ y.T
-            at = np.argsort(-s.round(12), axis=1, kind="stable")[:, :m]
-            s = np.take_along_axis(s, at, 1)
-        m = at.shape[1]
-        return pd.DataFrame({"left_id": np.repeat(who, m), "right_id": ids[at].ravel(), "score": s.ravel()}).assign(**{c: pdf[c].iloc[0] for c in on})[cols]
-
-    found = q.unionByName(b).groupBy(*on, "cell").applyInPandas(search, f"{head}left_id {t}, right_id {t}, score double")
+            best = np.argsort(-s.round(12), axis=1, kind="stable")[:, :k]
+            out.append(pd.DataFrame({"left_id": np.repeat(some["rid"].to_numpy(), best.shape[1]), "right_id": ids[np.take_along_axis(pick, best, 1)].ravel(), "score": np.take_along_axis(s, best, 1).ravel()}))
+        return pd.concat(out).assign(**{c: pdf[c].iloc[0] for c in on})[[*on, "left_id", "right_id", "score"]]
+
+    found = q.unionByName(b).groupBy(*on, "cell", "part").applyInPandas(search, f"{keys}left_id {t}, right_id {t}, score double")
     return top_k(found, k, [*on, "left_id"])
 
 
+def probes_needed(sample: np.ndarray, own: np.ndarray, cells: np.ndarray, k: int, target: float) -> int:
+    """How many of its nearest cells (own: each sample vector's cell) a vector must search to find the share target of its k nearest others, by the first 256 of the sample."""
+    some = sample[:256]
+    s = some @ sample.T
+    s[np.arange(len(some)), np.arange(len(some))] = -np.inf
+    best = np.argsort(-s, axis=1)[:, : min(k, len(sample) - 1)]
+    place = np.argsort(nearest_of(some, cells, len(cells)), axis=1)  # of each cell in a vector's order of cells
+    return int(np.quantile(np.take_along_axis(place, own[best], 1), target, method="higher")) + 1 if best.size else len(cells)
+
+
+def recall_of(found: DataFrame, exact: DataFrame, on: list[str]) -> DataFrame:
+    """(n_exact, recall): the share of the exact pairs that an approximate search found."""
+    pair = [*on, "left_id", "right_id"]
+    hit = exact.select(pair).join(found.select(pair).withColumn("_f", F.lit(1)), pair, "left")
+    return hit.agg(F.count("*").alias("n_exact"), (F.count("_f") / F.greatest(F.count("*"), F.lit(1))).alias("recall"))
+
+
 def search(queries: DataFrame, base: DataFrame, k: int, on: list[str], kind: str = "auto") -> DataFrame:
     """flat_search or ivf_search for each group of on, as index_kind says for its size; a group searched by cells has its own."""
     index_kind(0, kind)  # an unknown kind fails before any work
+    if kind == "flat":
+        return flat_search(queries, base, k, on)
     large = []
-    for r in base.groupBy(*on).agg(F.count("*").alias("n")).collect() if kind != "flat" else []:
-        if (chosen := index_kind(r["n"], kind)) != "flat":
-            large.append((reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(r[c])) for c in on], F.lit(True)), chosen))
+    for r in base.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > (20_000 if kind == "auto" else 0)).collect():
+        large.append((reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(r[c])) for c in on], F.lit(True)), index_kind(r["n"], kind)))
     if not large:
         return flat_search(queries, base, k, on)
-    found = [ivf_search(queries.where(at), base.where(at), k, on, pq_parts=48 if chosen == "ivfpq" else None) for at, chosen in large]
+    found = [ivf_search(queries.where(at), base.where(at), k, on, pq_parts=48 if chosen == "ivfpq" else None, flat_rows=0) for at, chosen in large]
     small = ~reduce(Column.__or__, [at for at, _ in large])
     return union_all([flat_search(queries.where(small), base.where(small), k, on), *found])
 

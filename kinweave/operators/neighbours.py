@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.session import cut, partitions
@@ -20,13 +20,14 @@ def positions(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
     ranged = df.repartitionByRange(partitions(df.sparkSession), *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
     placed = cut(ranged)
     part = F.shiftright("_at", 33)
-    sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}  # one row for each partition
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part").collect()  # one row for each partition
     base, total = [], 0
-    for p in range(max(sizes, default=0) + 1):
-        base.append(total)
-        total += sizes.get(p, 0)
-    pos: Column = F.element_at(F.array(*[F.lit(b).cast("long") for b in base]), (part + 1).cast("int")) + F.col("_at").bitwiseAND((1 << 33) - 1)
-    return placed.withColumn(name, pos).drop("_at")
+    for r in sizes:
+        base.append((r["_part"], total))
+        total += r["n"]
+    bases = df.sparkSession.createDataFrame(base, "_part long, _base long")
+    based = placed.withColumn("_part", part).join(F.broadcast(bases), "_part")  # as many rows as partitions
+    return based.withColumn(name, F.col("_base") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_part", "_base")
 
 
 def in_blocks(df: DataFrame, order: list[str], window: int, compare: Callable[[pd.DataFrame, int], pd.DataFrame], schema: str, block: int = 4000) -> DataFrame:
@@ -54,7 +55,7 @@ def pairs_within(df: DataFrame, group: list[str], key: str, side: str, id_col: s
 
     Joined by equal buckets of window positions and the next bucket, inside the JVM.
     """
-    placed = cut(positions(df.select(*group, key, side, id_col), [*group, key, side, id_col])).withColumn("_b", F.floor(F.col("pos") / window))
+    placed = positions(df.select(*group, key, side, id_col), [*group, key, side, id_col]).withColumn("_b", F.floor(F.col("pos") / window))
     a = placed.select(*group, F.col(side).alias("_s1"), F.col(id_col).alias("_i1"), F.col("pos").alias("_p1"), F.explode(F.array("_b", F.col("_b") + 1)).alias("_b"))
     b = placed.select(*group, F.col(side).alias("_s2"), F.col(id_col).alias("_i2"), F.col("pos").alias("_p2"), "_b")
     d = F.col("_p2") - F.col("_p1")

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.functions import text as T
+from kinweave.functions.fuzzy import FUZZY
 from kinweave.operators import blocking as B
 from kinweave.operators import metrics as M
 from kinweave.operators import nearest as N
 from kinweave.operators import topk as K
 from kinweave.operators.features import FEATURE_NAMES, attach, native_features, pair_features, with_labels
-from kinweave.operators.learning import TreeConfig, out_of_fold
-from kinweave.session import cut, read_table
+from kinweave.operators.learning import TreeConfig, fold_of, out_of_fold
+from kinweave.session import cut, read_table, union_all
 
 CONFIG = B.BlockingConfig()
 SCORES = ["source1_entity_id", "candidate_entity_id", "source", "blocking_score"]
@@ -223,12 +224,41 @@ def flat_ann_topk(spark: SparkSession, d: str) -> DataFrame:
     return _found(N.flat_search(*_vectors(spark, d), 10, ["label"]))
 
 
+def _ann(spark: SparkSession, d: str, pq_parts: int | None) -> DataFrame:
+    """The ten nearest in one index over all vectors, at default settings, also where the table is small enough for exact search."""
+    asked, base = _vectors(spark, d)
+    return N.ivf_search(asked.drop("label"), base.drop("label"), 10, [], pq_parts=pq_parts, flat_rows=0)
+
+
 def ann_ivf(spark: SparkSession, d: str) -> DataFrame:
-    return _found(N.ivf_search(*_vectors(spark, d), 10, ["label"]))
+    return _ann(spark, d, None).select("left_id", "right_id", F.round("score", 6).alias("score"), "rank")
 
 
 def ann_ivfpq(spark: SparkSession, d: str) -> DataFrame:
-    return _found(N.ivf_search(*_vectors(spark, d), 10, ["label"], pq_parts=16))
+    return _ann(spark, d, 16).select("left_id", "right_id", F.round("score", 6).alias("score"), "rank")
+
+
+def ann_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Whether ann_ivf and ann_ivfpq find nine tenths of what exact search finds."""
+    asked, base = (t.drop("label") for t in _vectors(spark, d))
+    exact = cut(N.flat_search(asked, base, 10, []))
+    rows = [N.recall_of(_ann(spark, d, parts), exact, []).withColumn("kind", F.lit(kind)) for kind, parts in (("ivf", None), ("ivfpq", 16))]
+    return union_all(rows).select("kind", "n_exact", (F.col("recall") >= 0.9).cast("int").alias("reached"))
+
+
+def fuzzy_of_labels(spark: SparkSession, d: str) -> DataFrame:
+    """The sequence similarities of all labelled matches."""
+    left, ref = sides(spark, d)
+    known = truth(spark, d)[1].select(F.col("s1_id").alias("source1_entity_id"), F.col("cand_id").alias("candidate_entity_id"), F.lit(1.0).alias("blocking_score"))
+    names = [f for f in FUZZY if f != "name_partial"]
+    return pair_features(known, left, ref).select("source1_entity_id", "candidate_entity_id", *[F.round(c, 6).alias(c) for c in names])
+
+
+def folds_of_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """That the folds of cross-validation keep every record's pairs together and lose none."""
+    folded = K.distinct_pairs(known_pairs(spark, d)).withColumn("fold", fold_of(F.col("source1_entity_id"), TreeConfig().folds))
+    per = folded.groupBy("source1_entity_id").agg(F.countDistinct("fold").alias("folds"), F.count("*").alias("n"))
+    return per.agg(F.sum("n").alias("n_pairs"), F.count("*").alias("n_entities"), F.sum((F.col("folds") > 1).cast("long")).alias("parted"))
 
 
 def embedding_candidates(spark: SparkSession, d: str) -> DataFrame:
@@ -276,6 +306,9 @@ QUERIES: dict[str, Query] = {
     "flat_ann_topk": flat_ann_topk,
     "ann_ivf": ann_ivf,
     "ann_ivfpq": ann_ivfpq,
+    "ann_recall": ann_recall,
+    "fuzzy_of_labels": fuzzy_of_labels,
+    "folds_of_pairs": folds_of_pairs,
     "embedding_candidates": embedding_candidates,
 }
 
@@ -387,6 +420,40 @@ SELECT v.kind, count(h.kind) FILTER (WHERE h.under) AS matched_under_cap, count(
 FROM (VALUES ('block_key'), ('postal'), ('token')) v(kind) LEFT JOIN hits h ON h.kind = v.kind, lost GROUP BY v.kind"""
 
 
+def sql_lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence: a fold over the letters of b whose state is, for all beginnings of a, the length so far."""
+    places = f"range(1, length({a}) + 1)"
+    met = f"list_transform({places}, lambda j: greatest(r[j], CASE WHEN ord(substring({a}, j, 1)) = s[1] THEN coalesce(r[j - 1], 0) + 1 ELSE 0 END))"
+    row = f"list_transform([{met}], lambda t: list_transform({places}, lambda j: list_max(t[1:j])))[1]"
+    letters = f"list_transform(string_split({b}, ''), lambda c: [ord(c)::BIGINT])"
+    return f"(CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE list_reduce(list_prepend(list_transform({places}, lambda j: 0::BIGINT), {letters}), lambda r, s: {row})[length({a})] END)"
+
+
+def sql_ratio(a: str, b: str) -> str:
+    return f"(CASE WHEN length({a}) + length({b}) = 0 THEN 1.0 ELSE 2.0 * {sql_lcs(a, b)} / (length({a}) + length({b})) END)"
+
+
+def _sql_fuzzy() -> str:
+    """Sequence similarities of the labelled matches, names and addresses as rows of one table."""
+    joined = lambda x: f"array_to_string(list_sort({x}), ' ')"
+    size = lambda x: f"(length(shared) + gap + length({x}))"
+    return f"""WITH {REC}, {TRUTH},
+p AS (SELECT t.s1_id, t.cand_id, unnest(['name', 'addr']) AS field, unnest([a.name_norm, a.addr_norm]) AS x, unnest([b.name_norm, b.addr_norm]) AS y
+  FROM truth t JOIN rec a ON a.src = 'S1' AND a.entity_id = t.s1_id JOIN rec b ON b.src <> 'S1' AND b.entity_id = t.cand_id),
+w AS (SELECT *, {T.sql_tokens("x")} AS wx, {T.sql_tokens("y")} AS wy FROM p),
+d AS (SELECT *, {joined("wx")} AS sx, {joined("wy")} AS sy, {joined("list_intersect(list_distinct(wx), list_distinct(wy))")} AS shared,
+  {joined("list_filter(list_distinct(wx), lambda e: NOT list_contains(wy, e))")} AS dx, {joined("list_filter(list_distinct(wy), lambda e: NOT list_contains(wx, e))")} AS dy FROM w),
+g AS (SELECT *, (shared <> '')::INT AS gap FROM d),
+f AS (SELECT s1_id, cand_id, field, round({sql_ratio("x", "y")}, 6) AS whole, round({sql_ratio("sx", "sy")}, 6) AS sorted,
+  round(CASE WHEN len(wx) = 0 OR len(wy) = 0 THEN 0.0 WHEN shared <> '' AND (dx = '' OR dy = '') THEN 1.0
+    ELSE greatest(1.0 - (length(dx) + length(dy) - 2 * {sql_lcs("dx", "dy")}) / ({size("dx")} + {size("dy")})::DOUBLE,
+      CASE WHEN gap = 1 THEN 1.0 - (gap + length(dx)) / (length(shared) + {size("dx")})::DOUBLE ELSE 0.0 END,
+      CASE WHEN gap = 1 THEN 1.0 - (gap + length(dy)) / (length(shared) + {size("dy")})::DOUBLE ELSE 0.0 END) END, 6) AS sets FROM g)
+SELECT n.s1_id AS source1_entity_id, n.cand_id AS candidate_entity_id, n.whole AS name_levenshtein, n.sorted AS name_token_sort, n.sets AS name_token_set,
+  a.whole AS addr_levenshtein, a.sorted AS addr_token_sort, a.sets AS addr_token_set
+FROM f n JOIN f a ON a.s1_id = n.s1_id AND a.cand_id = n.cand_id AND a.field = 'addr' WHERE n.field = 'name'"""
+
+
 _ANY = SIDES.replace("SELECT * FROM rec WHERE src = 'S1'", "SELECT * REPLACE ('*' AS country) FROM rec WHERE src = 'S1'").replace("SELECT * FROM rec WHERE src <> 'S1'", "SELECT * REPLACE ('*' AS country) FROM rec WHERE src <> 'S1'")
 _GRID = ", ".join(f"({t})" for t in M.GRID)
 SQL: dict[str, str] = {
@@ -437,6 +504,9 @@ g AS (SELECT threshold::DOUBLE AS threshold FROM (VALUES {_GRID}) v(threshold)),
 n AS (SELECT s1_id, count(*) AS t FROM truth GROUP BY s1_id),
 c AS (SELECT g.threshold, b.s1_id, count(*) AS p, count(t.s1_id) AS h FROM g JOIN best b ON b.prob >= g.threshold LEFT JOIN truth t ON t.s1_id = b.s1_id AND t.cand_id = b.cand_id GROUP BY ALL)
 SELECT g.threshold, round(avg({sql_f("coalesce(c.p, 0)", "coalesce(n.t, 0)", "coalesce(c.h, 0)")}), 6) AS macro_f_beta FROM g CROSS JOIN spine s LEFT JOIN n ON n.s1_id = s.s1_id LEFT JOIN c ON c.threshold = g.threshold AND c.s1_id = s.s1_id GROUP BY g.threshold""",
+    "ann_recall": "WITH n AS (SELECT sum(least(10, (SELECT count(*) FROM embeddings)))::BIGINT AS n_exact FROM embeddings WHERE vec_id % 100 = 0) SELECT k.kind, n.n_exact, 1 AS reached FROM (VALUES ('ivf'), ('ivfpq')) k(kind), n",
+    "fuzzy_of_labels": _sql_fuzzy(),
+    "folds_of_pairs": f"WITH {KNOWN} SELECT count(*) AS n_pairs, count(DISTINCT source1_entity_id) AS n_entities, 0 AS parted FROM (SELECT DISTINCT source1_entity_id, candidate_entity_id FROM known)",
     "flat_ann_topk": """WITH s AS (SELECT a.label, a.vec_id AS left_id, b.vec_id AS right_id, list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS x FROM embeddings a JOIN embeddings b ON a.label = b.label WHERE a.vec_id % 100 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY label, left_id ORDER BY round(x, 12) DESC, right_id) AS rank FROM s)
 SELECT label, left_id, right_id, round(x, 6) AS score, rank FROM r WHERE rank <= 10""",

@@ -31,10 +31,13 @@ def get_spark(app: str = "kinweave", cpus: str | int | None = None) -> SparkSess
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the shared folder named in spark.checkpoint.dir; a local folder is made only where that is unset."""
+    """Uses the shared folder named in spark.checkpoint.dir. Only a local session may lack it and gets a folder of its own; on a cluster its lack is an error, before any work."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="kinweave-checkpoint-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="kinweave-checkpoint-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -56,10 +59,10 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, an upper bound for scans, used as the check before a broadcast."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    """The optimizer's estimate of the size of df. It knows scans and checkpoints, not how many rows explode or Python functions make of one."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = 64 << 20) -> DataFrame:
-    """Hints a broadcast only if the optimizer's estimate is within limit_bytes; else the join shuffles."""
-    return F.broadcast(df) if plan_bytes(df) <= limit_bytes else df
+def broadcast_if_small(df: DataFrame, limit_rows: int = 200_000) -> DataFrame:
+    """Hints a broadcast if df, an aggregate that is cheap to count, has at most limit_rows rows; else the join shuffles."""
+    return F.broadcast(df) if df.limit(limit_rows + 1).count() <= limit_rows else df.hint("merge")

@@ -117,3 +117,14 @@ def test_empty_and_null_records(spark):
     got = B.generate_candidates(left, ref, B.BlockingConfig())
     # blank keys join nothing; blank records still are neighbours
     assert [(r["candidate_entity_id"], r["blocking_score"]) for r in got.collect()] == [("S2-1", 1.0)]
+
+
+def test_broadcast_only_of_counted_sides(spark):
+    from kinweave.session import broadcast_if_small, plan_bytes
+
+    small = spark.range(100).withColumnRenamed("id", "k")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    many = spark.range(1000).selectExpr("id % 100 AS k", "id AS v")
+    assert plan_bytes(small) > 0
+    assert "BroadcastHashJoin" in plan(many.join(broadcast_if_small(small, 100), "k"))
+    assert "SortMergeJoin" in plan(many.join(broadcast_if_small(small, 99), "k"))

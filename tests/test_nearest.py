@@ -35,10 +35,26 @@ def test_ivf_and_pq_recall(spark):
     x, base = vectors(spark, 3000)
     q = base.where("id % 100 = 0")
     flat = {(r["left_id"], r["right_id"]) for r in N.flat_search(q, base, 10, ["g"]).collect()}
-    ivf = {(r["left_id"], r["right_id"]) for r in N.ivf_search(q, base, 10, ["g"], nprobe=100).collect()}
-    pq = {(r["left_id"], r["right_id"]) for r in N.ivf_search(q, base, 10, ["g"], nprobe=100, pq_parts=8, rescore=8).collect()}
-    assert len(flat & ivf) >= 0.9 * len(flat)
-    assert len(flat & pq) >= 0.8 * len(flat)
+    for pq_parts in (None, 8):
+        found = {(r["left_id"], r["right_id"]) for r in N.ivf_search(q, base, 10, ["g"], pq_parts=pq_parts, flat_rows=0).collect()}
+        assert len(flat & found) >= 0.9 * len(flat)
+    # exact up to flat_rows, and in pieces of a large cell
+    assert {(r["left_id"], r["right_id"]) for r in N.ivf_search(q, base, 10, ["g"]).collect()} == flat
+    whole = {(r["left_id"], r["right_id"]) for r in N.ivf_search(q, base, 10, ["g"], nprobe=10_000, flat_rows=0, cell_rows=5).collect()}
+    assert whole == flat
+
+
+def test_probes_grow_where_there_are_no_clusters():
+    rng = np.random.default_rng(2)
+    loose = rng.normal(size=(2000, 32))
+    tight = rng.normal(size=(50, 32)).repeat(40, axis=0) + 0.05 * rng.normal(size=(2000, 32))
+    need = []
+    for x in (tight, loose):
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        x = x[rng.permutation(len(x))]
+        cells = N.kmeans(x, 50)
+        need.append(N.probes_needed(x, N.nearest_of(x, cells)[:, 0], cells, 10, 0.97))
+    assert need[0] < need[1]
 
 
 def test_index_choice():
