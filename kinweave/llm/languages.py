@@ -4,8 +4,10 @@ A bidirectional gated recurrent network over bytes (bytegru) is trained on
 paragraphs of labelled documents and then labels every byte of every text cell;
 bytes are pooled to paragraphs, paragraphs, by their words, to documents. The
 uploaders' labels are partly wrong and documents mix languages, so training runs
-twice: the first net's own judgement of its training paragraphs replaces their
-labels, and paragraphs it cannot tell are left out of the second training.
+twice: where the first net is sure that a paragraph has another language than its
+label, that replaces the label, and paragraphs in doubt are left out of the second
+training. Paragraphs are read whole, in stretches of at most PIECE bytes that end
+at blanks, each with a fresh state.
 
 The training sample is bounded: the sample_size labelled paragraphs with the
 smallest hashes (3600 by default), and of every language at least floor (240)
@@ -35,7 +37,7 @@ APART = re.compile(r"[\s\d_!-/:-@\[-`{-~]+")
 WORD = re.compile(r"\S*[^\W_]\S*")
 PIECE = 192  # bytes run through the net at a stretch; longer paragraphs are read in several
 CHUNK = 400_000  # bytes labelled at a time
-ODDS = 4.0
+ODDS = 8.0
 
 
 def paragraphs(cell: str) -> list[str]:
@@ -63,21 +65,27 @@ def stretches(data: bytes) -> list[bytes]:
     return [*out, data]
 
 
-def fit(samples: list[tuple[str, str]], hidden: int = 16, epochs: tuple[int, int] = (4, 8)) -> bytegru.Net:
-    """A net trained on (text, language) samples, cleaned once by its own judgement."""
-    kept = [(reading(t)[: PIECE - 32], LANGUAGES.index(lang)) for t, lang in samples]
-    kept = [x for x in kept if len(x[0]) >= 8]
-    if not kept:
+def fit(samples: list[tuple[str, str]], hidden: int = 16, epochs: tuple[int, int] = (4, 10), keep: float = 0.3, turn: float = 0.85) -> bytegru.Net:
+    """A net trained on whole (text, language) samples, in stretches, after one cleaning by its own judgement.
+
+    A sample stays as labelled if the first net gives its label at least the share keep, takes the net's language if that has at least
+    the share turn, and is left out of the second training otherwise.
+    """
+    pieces = [(piece, k) for k, (t, _) in enumerate(samples) for piece in stretches(reading(t)) if len(piece) >= 8]
+    if not pieces:
         return bytegru.fresh(hidden, len(LANGUAGES), 7)
-    texts, labels = [t for t, _ in kept], [y for _, y in kept]
-    net = bytegru.train(texts, labels, len(LANGUAGES), hidden, epochs[0], batch=32)
-    p = bytegru.pool_bytes(net, texts)
+    texts, owner = [t for t, _ in pieces], np.array([k for _, k in pieces])
+    labels = np.array([LANGUAGES.index(lang) for _, lang in samples])
+    net = bytegru.train(texts, labels[owner].tolist(), len(LANGUAGES), hidden, epochs[0], batch=32)
+    p = np.zeros((len(samples), len(LANGUAGES)))
+    np.add.at(p, owner, bytegru.pool_bytes(net, texts))
     p /= np.maximum(p.sum(axis=1, keepdims=True), 1e-9)
-    top = np.sort(p, axis=1)
-    sure = np.flatnonzero(top[:, -1] - top[:, -2] > 0.15)
-    if len(sure) < len(texts) // 2:
-        return net
-    return bytegru.train([texts[i] for i in sure], p[sure].argmax(axis=1).tolist(), len(LANGUAGES), hidden, epochs[1], batch=32, rate=0.012, net=net)
+    top = p.argmax(axis=1)
+    stays = p[np.arange(len(p)), labels] >= keep
+    turns = ~stays & (p.max(axis=1) >= turn)
+    labels = np.where(turns, top, labels)
+    some = np.flatnonzero((stays | turns)[owner])
+    return bytegru.train([texts[i] for i in some], labels[owner[some]].tolist(), len(LANGUAGES), hidden, epochs[1], batch=32, rate=0.012, net=net)
 
 
 def label_all(net: bytegru.Net, texts: list[str]) -> np.ndarray:

@@ -111,7 +111,7 @@ def mix(docs: DataFrame, targets: DataFrame, tokenizer: str, weight: Column | No
     source misses its budget by half a document at most. Documents without tokens are never chosen.
     """
     spark = docs.sparkSession
-    goals = {r["source"].strip().lower(): (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in targets.select("source", "target_share", "max_repeats").limit(10_000).collect() if r["source"]}
+    goals = {r["source"].strip().lower(): (float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in targets.select("source", "target_share", "max_repeats").collect() if r["source"]}
     key = F.lower(F.trim(F.col(source)))
     w = F.coalesce(weight.cast("double"), F.lit(0.0)) if weight is not None else F.lit(1.0)
     listed = docs.where(F.col(id_col).isNotNull() & key.isin(*goals))
@@ -119,16 +119,17 @@ def mix(docs: DataFrame, targets: DataFrame, tokenizer: str, weight: Column | No
     one = sized.groupBy("id").agg(F.max(F.struct("n_tokens", "source", "weight")).alias("r")).select("id", "r.*").where("n_tokens > 0")
     u = (F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     keyed = cut(one.withColumn("key", -F.log(u) / F.col("weight")))
-    totals = {r["source"]: r["n"] for r in keyed.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
+    held = keyed.groupBy("source").agg(F.sum("n_tokens").alias("n"), F.max("n_tokens").alias("largest")).collect()  # one row for each target
+    totals, largest = {r["source"]: r["n"] for r in held}, {r["source"]: r["largest"] for r in held}
     give = budgets(totals, {s: g[0] for s, g in goals.items()}, {s: g[1] for s, g in goals.items()}, size)
-    plan = [(s, totals.get(s, 0), give[s], int(give[s] // totals[s]) if totals.get(s) else 0, give[s] % totals[s] if totals.get(s) else 0.0) for s in goals]
-    plan_df = spark.createDataFrame(pd.DataFrame(plan, columns=["source", "total_tokens", "budget", "epochs", "rest"]), "source string, total_tokens long, budget double, epochs long, rest double")
+    plan = [(s, totals.get(s, 0), give[s], int(give[s] // totals[s]) if totals.get(s) else 0, give[s] % totals[s] if totals.get(s) else 0.0, largest.get(s, 0)) for s in goals]
+    plan_df = spark.createDataFrame(pd.DataFrame(plan, columns=["source", "total_tokens", "budget", "epochs", "rest", "largest"]), "source string, total_tokens long, budget double, epochs long, rest double, largest long")
     order = prefix_sums(keyed)
     taken = order.join(F.broadcast(plan_df), "source").withColumn("extra", ((F.col("before") < F.col("rest")) & (F.col("rest") - F.col("before") >= F.col("n_tokens") / 2)).cast("long"))
     chosen = taken.withColumn("repeats", F.col("epochs") + F.col("extra")).where("repeats > 0").select(F.col("id").alias(id_col), "source", "n_tokens", "repeats")
     got = chosen.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("n_docs"), F.max("repeats").alias("max_used"))
     shares = spark.createDataFrame(pd.DataFrame([(s, g[0], g[1]) for s, g in goals.items()], columns=["source", "target_share", "max_repeats"]), "source string, target_share double, max_repeats int")
-    report = shares.join(got, "source", "left").join(plan_df.select("source", "total_tokens", "budget"), "source").na.fill(0, ["tokens", "n_docs", "max_used"])
+    report = shares.join(got, "source", "left").join(plan_df.select("source", "total_tokens", "budget", "largest"), "source").na.fill(0, ["tokens", "n_docs", "max_used"])
     every = report.agg(F.sum("tokens").alias("all_tokens"))
     report = report.crossJoin(F.broadcast(every)).withColumn("share", F.when(F.col("all_tokens") > 0, F.col("tokens") / F.col("all_tokens")).otherwise(0.0)).drop("all_tokens")
     return chosen, report

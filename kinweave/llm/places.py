@@ -5,11 +5,15 @@ sorted several times, each time by other components first, and every reading is
 compared with the next ones in each order. The passes are one sort, of a key that
 begins with the number of the pass. A pair must agree in house number, and in
 street type where both have one; street names may differ by typing errors and
-transpositions; towns and postal codes must not contradict.
+transpositions; towns and postal codes must not contradict. An address without a
+town can be that of any town's, however many share number and street: those are
+joined with all of their number and street skeleton, so that no window cuts them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -101,6 +105,23 @@ def readings_of(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members.select("id", "rid"), readings
 
 
+def townless(readings: DataFrame) -> DataFrame:
+    """(a, b): readings without a town with all readings of the same number and street skeleton that are the same place."""
+    cols = ["rid", *PARTS, *TOWN]
+    keyed = readings.withColumn("_bare", F.regexp_replace("street", "(?<!^)[aeiou]", ""))
+    side = lambda df, s: df.select(F.col("number").alias("_number"), "_bare", F.struct(*cols).alias(s))
+    met = side(keyed.where("town = ''"), "x").join(side(keyed, "y"), ["_number", "_bare"]).where("x.rid <> y.rid AND (x.kind = '' OR y.kind = '' OR x.kind = y.kind)")
+
+    rows = ", ".join(f"{s}.{c} AS {s}_{c}" for s in "xy" for c in cols).split(", ")
+
+    def flat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            x, y = (list(zip(*[pdf[f"{s}_{c}"] for c in cols], strict=True)) for s in "xy")
+            yield pd.DataFrame([(p[0], q[0]) for p, q in zip(x, y, strict=True) if same_place(p[1:], q[1:])], columns=["a", "b"])
+
+    return met.selectExpr(*rows).mapInPandas(flat, "a long, b long")
+
+
 def same_building(fields: DataFrame, window: int = 12) -> DataFrame:
     """(a, b), a < b: ids of two records of with_fields at the same building, each pair once.
 
@@ -114,7 +135,7 @@ def same_building(fields: DataFrame, window: int = 12) -> DataFrame:
     keyed = readings.withColumns({"turned": F.reverse("street"), "bare": F.regexp_replace("street", "(?<!^)[aeiou]", ""), "near": near})
     key = F.array(*[F.concat_ws("|", F.lit(str(i)), "number", *o) for i, o in enumerate(orders)])
     passes = keyed.withColumn("key", F.explode(key)).drop("turned", "bare", "near")
-    links = cut(in_blocks(passes, ["key", "rid"], window, lambda rows, n: compare(rows, n, window), "a long, b long").distinct())
+    links = cut(in_blocks(passes, ["key", "rid"], window, lambda rows, n: compare(rows, n, window), "a long, b long").union(townless(readings)).distinct())
     both = links.where("a <> b").select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
     m, k = members.select(F.col("rid").alias("x"), F.col("id").alias("i")), members.select(F.col("rid").alias("y"), F.col("id").alias("j"))
     across = both.join(m, "x").join(k, "y").select("i", "j")

@@ -67,15 +67,17 @@ def similar(
     if not drawn:
         return spark.createDataFrame([], f"id {id_type}, other {id_type}, cosine double, rank int")
     sample = unit(np.array([r["vec"] for r in sorted(drawn)], np.float32)).astype(np.float64)
-    cents = centroids_of(sample, min(len(sample), math.ceil(lengths["count"] / shard_size)))
+    # no more centroids than the sample can place, so that neither the driver's part nor the routing of a vector grows with the collection
+    cents = centroids_of(sample, max(1, min(math.ceil(lengths["count"] / shard_size), len(sample) // 20)))
     held_share = np.bincount((sample @ cents.T).argmax(axis=1), minlength=len(cents)) / len(sample)
     # shards that the sample shows to be too large are split by hash
     split = np.maximum(1, np.ceil(held_share * lengths["count"] / (2 * shard_size))).astype(np.int64)
-    gap = np.maximum(np.linalg.norm(cents[:, None] - cents[None], axis=2), 1e-12)
-    held = spark.sparkContext.broadcast((cents, split, gap))
+    if split.max() >= 1 << 20:
+        raise ValueError("shard_size is too small for so many vectors")
+    held = spark.sparkContext.broadcast((cents, split))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, split, gap = held.value
+        c, split = held.value
         for b in batches:
             if not b.num_rows:
                 continue
@@ -85,7 +87,9 @@ def similar(
             at = np.arange(len(x))
             home = sim.argmax(axis=1)
             # distance to the border between the own shard and each other one
-            near = (sim[at, home][:, None] - sim) / gap[home] <= (np.inf if margin is None else margin)
+            kinds, of = np.unique(home, return_inverse=True)
+            gap = np.sqrt(np.maximum((c[kinds] ** 2).sum(axis=1)[:, None] + (c**2).sum(axis=1)[None] - 2 * c[kinds] @ c.T, 1e-24))
+            near = (sim[at, home][:, None] - sim) / gap[of] <= (np.inf if margin is None else margin)
             near &= b.column("ask").to_numpy(zero_copy_only=False)[:, None]
             near[at, home] = True
             piece = (rid.view(np.uint64) % split[home].astype(np.uint64)).astype(np.int64)
@@ -97,7 +101,7 @@ def similar(
             flat = pa.py_buffer(np.ascontiguousarray(x[who]).tobytes())
             width = x.shape[1] * 4
             vec = pa.Array.from_buffers(pa.binary(), len(who), [None, pa.py_buffer((np.arange(len(who) + 1) * width).astype(np.int32).tobytes()), flat])
-            yield pa.RecordBatch.from_arrays([pa.array(rid[who]), pa.array((shard * 1024 + part).astype(np.int32)), pa.array(stored), b.column("ask").take(pa.array(who)), vec], ["rid", "shard", "stored", "ask", "vec"])
+            yield pa.RecordBatch.from_arrays([pa.array(rid[who]), pa.array((shard << 20) + part), pa.array(stored), b.column("ask").take(pa.array(who)), vec], ["rid", "shard", "stored", "ask", "vec"])
 
     def answer(table: pa.Table) -> pa.Table:
         rid, stored, ask = (table.column(c).to_numpy() for c in ("rid", "stored", "ask"))
@@ -121,7 +125,7 @@ def similar(
         return pa.table({"rid": a[keep], "other": b[keep], "cosine": cos[keep]})
 
     tasks = min(int(split.sum()), 100_000)
-    dealt = sound.select("rid", "vec", "ask").mapInArrow(route, "rid long, shard int, stored boolean, ask boolean, vec binary")
+    dealt = sound.select("rid", "vec", "ask").mapInArrow(route, "rid long, shard long, stored boolean, ask boolean, vec binary")
     found = cut(dealt.repartition(tasks, "shard").groupBy("shard").applyInArrow(answer, "rid long, other long, cosine double"))
     near = found.withColumn("_n", F.row_number().over(W.partitionBy("rid").orderBy(F.desc("cosine"), "other"))).where(F.col("_n") <= k).select("rid", "other", "cosine")
     member = cut(sound.groupBy("id").agg(F.min("rid").alias("rid"), F.max("ask").alias("ask")))

@@ -7,7 +7,9 @@ whole cluster to the cluster's smallest node and that smallest node to all
 others, until nothing changes. Weighted rendezvous hashing then draws a split
 for every component; components that hold a marked share of all rows are dealt
 out first, largest first, to the split that lacks most rows, so that one huge
-component cannot upset the shares.
+component cannot upset the shares. What they take of a split's share is rounded to
+fiftieths before the others' weights are set, so that some rows more or less move
+no other component.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ def hash_to_min(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of edges (a, b); component is its smallest node.
 
     Clusters are rows (owner, member), not arrays, so a large component is never one value. Only the smallest
-    node of a component comes to own the whole cluster, and its rows spread over tasks by (owner, member).
+    node of a component comes to own the whole cluster; its rows meet its one least member in a join on owner, whose large
+    partitions adaptive execution splits, and are spread by (owner, member) elsewhere.
     Null ends are ignored; loops and repeated edges are harmless; no edges give no rows.
     """
     e = edges.select("a", "b").where(F.col("a").isNotNull() & F.col("b").isNotNull())
@@ -104,7 +107,9 @@ def assign_splits(df: DataFrame, keys: Mapping[str, Column], targets: Mapping[st
         k = max(sorted(lacking), key=lambda x: lacking[x])
         dealt[r["_sp_component"]] = k
         lacking[k] -= r["rows"]
-    weights = {k: max(0.0, v) for k, v in lacking.items()}
+    # of the light components: stable under small changes of the heavy ones
+    taken = {k: round(50 * (s - lacking[k] / total)) / 50 if total else 0.0 for k, s in shares.items()}
+    weights = {k: max(0.0, s - taken[k]) for k, s in shares.items()}
     drawn = rendezvous(F.col("_sp_component"), weights if sum(weights.values()) > 0 else shares, seed)
     if dealt:
         fixed = F.create_map(*[F.lit(x) for kv in dealt.items() for x in kv])
