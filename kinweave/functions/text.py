@@ -44,35 +44,78 @@ def _letters() -> tuple[str, str]:
 ACCENTED, BASE = _letters()
 Transliterator = Callable[[Column], Column]
 
-# Devanagari letters in Latin script; capital placeholders stand for two letters until the end.
-NAGARI_CONSONANTS = "कखगघङचछजझञटठडढणतथदधनपफबभमयरलळवशषसह"
-NAGARI_LATIN = "kKgGncCjJntTdDntTdDnpfbBmyrllvSSsh"
-NAGARI_SIGNS = "ािीुूेैोौंँःअआइईउऊएऐओऔ"
-NAGARI_VOWELS = "aiiuueEoOnnhaaiiuueEoO"
-NAGARI_DOUBLE = {"K": "kh", "G": "gh", "C": "chh", "c": "ch", "J": "jh", "T": "th", "D": "dh", "B": "bh", "S": "sh", "E": "ai", "O": "au"}
-
-
-def romanize_devanagari(c: Column) -> Column:
-    """Devanagari in Latin letters, other text unchanged; a consonant's own vowel is written where another letter follows."""
-    marked = F.regexp_replace(c, f"([{NAGARI_CONSONANTS}])(?=[{NAGARI_CONSONANTS}अ-औ])", "$1\u0001")
-    low = F.lower(F.regexp_replace(marked, "[़्]", ""))
-    latin = F.translate(low, NAGARI_CONSONANTS + NAGARI_SIGNS + "\u0001", NAGARI_LATIN.replace("c", "\u0002") + NAGARI_VOWELS + "a")
-    for short, long in NAGARI_DOUBLE.items():
-        latin = F.replace(latin, F.lit("\u0002" if short == "c" else short), F.lit(long))
-    return F.when(c.rlike("[ऀ-ॿ]"), latin).otherwise(c)
+# Devanagari in Latin letters. A consonant is followed by a unless a vowel sign or the virama follows.
+CONSONANTS = {
+    "क": "k", "ख": "kh", "ग": "g", "घ": "gh", "ङ": "n", "च": "ch", "छ": "ch", "ज": "j", "झ": "jh", "ञ": "n", "ट": "t", "ठ": "th", "ड": "d", "ढ": "dh", "ण": "n", "त": "t", "थ": "th", "द": "d", "ध": "dh",
+    "न": "n", "ऩ": "n", "प": "p", "फ": "ph", "ब": "b", "भ": "bh", "म": "m", "य": "y", "र": "r", "ऱ": "r", "ल": "l", "ळ": "l", "ऴ": "l", "व": "v", "श": "sh", "ष": "sh", "स": "s", "ह": "h",
+}
+VOWELS = {"अ": "a", "आ": "a", "इ": "i", "ई": "i", "उ": "u", "ऊ": "u", "ऋ": "ri", "ऍ": "e", "ऎ": "e", "ए": "e", "ऐ": "ai", "ऑ": "o", "ऒ": "o", "ओ": "o", "औ": "au", "ं": "m", "ँ": "n", "ः": "h"}
+VOWEL_SIGNS = {"ा": "a", "ि": "i", "ी": "i", "ु": "u", "ू": "u", "ृ": "ri", "ॅ": "e", "ॆ": "e", "े": "e", "ै": "ai", "ॉ": "o", "ॊ": "o", "ो": "o", "ौ": "au", "्": ""}
+# Cyrillic and Greek small letters in Latin letters.
+CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ё": "e", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u",
+    "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "yu", "я": "ya", "і": "i", "ї": "i", "є": "e", "ґ": "g",
+}
+GREEK = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u",
+    "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+}
+# Bengali, Gurmukhi, Gujarati, Oriya, Tamil, Telugu, Kannada and Malayalam: Unicode lays them out as it does Devanagari.
+DEVANAGARI, INDIC_STARTS = 0x900, range(0x980, 0xD80, 0x80)
+OTHER_SCRIPTS = "[\u0370-\u03ff\u0400-\u04ff\u0900-\u0d7f\u1f00-\u1fff]"
+INHERENT = "\u0001"
+
+
+def _other_letters() -> tuple[list[tuple[str, str]], dict[str, str]]:
+    """([(letters, their one-letter forms)] in two steps, {letter: longer form}): first all Indic scripts to Devanagari and accented letters to plain ones, then those to Latin."""
+    whole = CONSONANTS | VOWELS | VOWEL_SIGNS | CYRILLIC | GREEK
+    same: dict[str, str] = {}
+    for start in INDIC_STARTS:
+        for offset in range(0x80):
+            if unicodedata.name(chr(start + offset), "") and unicodedata.name(chr(DEVANAGARI + offset), "") and unicodedata.category(chr(start + offset))[0] in "LM":
+                same[chr(start + offset)] = chr(DEVANAGARI + offset)
+    for cp in [*range(0x370, 0x500), *range(DEVANAGARI, 0xD80), *range(0x1F00, 0x2000)]:
+        base = unicodedata.normalize("NFD", chr(cp))[0]
+        if unicodedata.category(chr(cp)) == "Nd":
+            same[chr(cp)] = str(unicodedata.digit(chr(cp)))
+        elif chr(cp) not in whole and chr(cp) not in same and base in whole:
+            same[chr(cp)] = base
+    single = {k: v for k, v in whole.items() if len(v) == 1} | {INHERENT: "a"}
+    gone = [k for k, v in whole.items() if not v] + ["़"]
+    steps = [("".join(same), "".join(same.values())), ("".join(single) + "".join(gone), "".join(single.values()))]
+    return steps, {k: v for k, v in whole.items() if len(v) > 1}
+
+
+OTHER_STEPS, OTHER_LONG = _other_letters()
+INHERENT_RULES = [(f"([{''.join(CONSONANTS)}]़?)", rf"\1{INHERENT}"), (f"{INHERENT}([{''.join(VOWEL_SIGNS)}])", r"\1")]
+
+
+def romanize(c: Column) -> Column:
+    """Text in nine Indic scripts, Cyrillic or Greek in small Latin letters; texts without such letters unchanged."""
+    out = F.translate(F.lower(c), *OTHER_STEPS[0])
+    for pattern, to in INHERENT_RULES:
+        out = F.regexp_replace(out, pattern, to.replace("\\", "$"))
+    for letter, latin in OTHER_LONG.items():
+        out = F.replace(out, F.lit(letter), F.lit(latin))
+    return F.when(c.rlike(OTHER_SCRIPTS), F.translate(out, *OTHER_STEPS[1])).otherwise(c)
 
 
 def ascii_fold(c: Column) -> Column:
-    """Latin letters without accents; letters of other scripts stay."""
+    """Latin letters without accents, and those of the scripts that romanize knows; letters of other scripts stay."""
+    c = romanize(c)
     for whole, plain in WHOLE_LETTERS.items():
         c = F.replace(c, F.lit(whole), F.lit(plain))
-    return F.translate(c, ACCENTED, BASE)
+    return F.regexp_replace(F.translate(c, ACCENTED, BASE), ACCENTS, "")
+
+
+ACCENTS = "[\u0300-\u036f]"  # marks written after their letter
+STRANGE = r"[^\p{L}\p{M}\p{Nd}_\s]"
 
 
 def basic_clean(c: Column, transliterate: Transliterator | None = None) -> Column:
-    """Lower case, no accents, letters, digits and underscores of ASCII only, single blanks. Null, blank and 'nan' give ''."""
+    """Lower case, no accents, letters, digits and underscores only, single blanks; letters of scripts that can't be romanized stay. Null, blank and 'nan' give ''. transliterate is applied before."""
     folded = ascii_fold(transliterate(c) if transliterate else c)
-    clean = F.trim(F.regexp_replace(F.regexp_replace(F.lower(folded), r"[^a-z0-9_\s]", " "), r"\s+", " "))
+    clean = F.trim(F.regexp_replace(F.regexp_replace(F.lower(folded), STRANGE, " "), r"\s+", " "))
     empty = c.isNull() | (F.lower(F.regexp_replace(c, r"^\s+|\s+$", "")) == "nan")
     return F.when(empty, F.lit("")).otherwise(clean)
 
@@ -151,14 +194,24 @@ def default_prefixes(model_name: str) -> tuple[str, str]:
 # The same rules as DuckDB SQL.
 
 
+def sql_romanize(x: str) -> str:
+    out = f"translate(lower({x}), '{OTHER_STEPS[0][0]}', '{OTHER_STEPS[0][1]}')"
+    for pattern, to in INHERENT_RULES:
+        out = f"regexp_replace({out}, '{pattern}', '{to}', 'g')"
+    for letter, latin in OTHER_LONG.items():
+        out = f"replace({out}, '{letter}', '{latin}')"
+    return f"(CASE WHEN regexp_matches({x}, '{OTHER_SCRIPTS}') THEN translate({out}, '{OTHER_STEPS[1][0]}', '{OTHER_STEPS[1][1]}') ELSE {x} END)"
+
+
 def sql_fold(x: str) -> str:
+    x = sql_romanize(x)
     for whole, plain in WHOLE_LETTERS.items():
         x = f"replace({x}, '{whole}', '{plain}')"
-    return f"translate({x}, '{ACCENTED}', '{BASE}')"
+    return f"regexp_replace(translate({x}, '{ACCENTED}', '{BASE}'), '{ACCENTS}', '', 'g')"
 
 
 def sql_clean(x: str) -> str:
-    return f"(CASE WHEN {x} IS NULL OR lower(regexp_replace({x}, '^\\s+|\\s+$', '', 'g')) = 'nan' THEN '' ELSE trim(regexp_replace(regexp_replace(lower({sql_fold(x)}), '[^a-z0-9_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) END)"
+    return f"(CASE WHEN {x} IS NULL OR lower(regexp_replace({x}, '^\\s+|\\s+$', '', 'g')) = 'nan' THEN '' ELSE trim(regexp_replace(regexp_replace(lower({sql_fold(x)}), '{STRANGE}', ' ', 'g'), '\\s+', ' ', 'g')) END)"
 
 
 def _sql_map(table: dict[str, str]) -> str:

@@ -21,7 +21,7 @@ from kinweave.sources import records
 from kinweave.sources.cache import EmbeddingCache
 
 RECALL_GOAL = 0.95
-FULL_SCALE = 2_206_821  # records of the largest known left table; sweeps extrapolate to it
+FULL_SCALE = 2_206_821  # left records that a sweep extrapolates to by default
 
 
 def train(sources: dict[str, DataFrame], labels: DataFrame, out_dir: str, config: BlockingConfig = BlockingConfig(top_k=20), trees: learning.TreeConfig = learning.TreeConfig(), sample: int | None = None) -> dict[str, Any]:
@@ -101,7 +101,8 @@ def diagnose(sources: dict[str, DataFrame], labels: DataFrame, config: BlockingC
     }
 
 
-DEFAULT_COMBOS = ((75, 2000, 40), (150, 2000, 40), (150, 5000, 40), (150, 10000, 60), (300, 5000, 60), (300, 10000, 80))
+# Fixed values: (top_k, max_group_size, window), the usual setting, each changed by itself, and two together.
+DEFAULT_COMBOS = ((75, 2000, 40), (150, 2000, 40), (75, 10000, 40), (75, 2000, 80), (150, 10000, 80), (250, 10000, 80))
 
 
 def parse_combos(text: str) -> tuple[tuple[int, int, int], ...]:
@@ -109,8 +110,8 @@ def parse_combos(text: str) -> tuple[tuple[int, int, int], ...]:
     return tuple(tuple(int(x) for x in c.split(":")) for c in text.split(",") if c.strip())  # type: ignore[misc]
 
 
-def sweep(sources: dict[str, DataFrame], labels: DataFrame, combos: tuple[tuple[int, int, int], ...] = DEFAULT_COMBOS, sample: int | None = 20_000) -> DataFrame:
-    """One row for each (top_k, max_group_size, window), best recall first. Records are prepared once for all."""
+def sweep(sources: dict[str, DataFrame], labels: DataFrame, combos: tuple[tuple[int, int, int], ...] = DEFAULT_COMBOS, sample: int | None = 20_000, full_scale: int = FULL_SCALE) -> DataFrame:
+    """One row for each (top_k, max_group_size, window), best recall first. Records are prepared once for all; full_scale left records are what the estimate extrapolates to."""
     spark: SparkSession = labels.sparkSession
     s1 = records.sample_records(sources["S1"], sample)
     truth = cut(metrics.truth_tables(records.sample_truth(labels, s1))[1])
@@ -122,7 +123,7 @@ def sweep(sources: dict[str, DataFrame], labels: DataFrame, combos: tuple[tuple[
         pairs = cut(generate_candidates(left, ref, BlockingConfig(top_k=k, max_group_size=size, window=window)))
         recall = metrics.blocking_recall(truth, pairs).first()["candidate_recall"]
         made = pairs.count()
-        rows.append((k, size, window, float(recall), made, int(made * FULL_SCALE / max(n, 1)), time.time() - began))
+        rows.append((k, size, window, float(recall), made, int(made * full_scale / max(n, 1)), time.time() - began))
     schema = "top_k int, max_group_size int, window int, recall double, n_candidates_sample long, est_full_scale_candidates long, seconds double"
     return spark.createDataFrame(rows, schema).orderBy(F.desc("recall"), "n_candidates_sample")
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kinweave.functions import text as T
+from kinweave.operators.blocking import prepared_tables, token_pairs
 
 # Normal forms worked out by hand.
 KNOWN = [
@@ -33,13 +35,26 @@ def test_known_forms(spark):
         assert r["name_core_rev"] == core[::-1]
 
 
+def plain_romanize(t: str) -> str:
+    """Letter by letter, without the tables' two steps."""
+    if not re.search(T.OTHER_SCRIPTS, t):
+        return t
+    out, all_letters = [], T.CONSONANTS | T.VOWELS | T.VOWEL_SIGNS | T.CYRILLIC | T.GREEK
+    t = "".join(c for c in t.lower().translate(str.maketrans(*T.OTHER_STEPS[0])) if c != "़")
+    for i, c in enumerate(t):
+        out.append(all_letters.get(c, c) + ("a" if c in T.CONSONANTS and t[i + 1 : i + 2] not in T.VOWEL_SIGNS else ""))
+    return "".join(out)
+
+
 def plain_clean(t: str | None) -> str:
     if t is None or re.sub(r"^[ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+$", "", t).lower() == "nan":
         return ""
+    t = plain_romanize(t)
     for a, b in T.WHOLE_LETTERS.items():
         t = t.replace(a, b)
-    t = t.translate(str.maketrans(T.ACCENTED, T.BASE)).lower()
-    return re.sub(r"[ \t\n\x0b\f\r]+", " ", re.sub(r"[^a-z0-9_ \t\n\x0b\f\r]", " ", t)).strip(" ")
+    t = "".join(c for c in t.translate(str.maketrans(T.ACCENTED, T.BASE)) if not "\u0300" <= c <= "\u036f").lower()
+    t = "".join(c if c in "_ \t\n\x0b\f\r" or unicodedata.category(c)[0] in "LM" or unicodedata.category(c) == "Nd" else " " for c in t)
+    return re.sub(r"[ \t\n\x0b\f\r]+", " ", t).strip(" ")
 
 
 def plain_ngrams(t: str) -> set[str]:
@@ -49,7 +64,7 @@ def plain_ngrams(t: str) -> set[str]:
 
 def test_against_plain_python(spark):
     @settings(max_examples=8, deadline=None)
-    @given(st.lists(st.text(alphabet="abcÀéß_-. ltdno19नİ\t", max_size=24), min_size=1, max_size=40))
+    @given(st.lists(st.text(alphabet="abcÀéß_-. ltdno19नाक्षகிЖя東Ωύ\t", max_size=24), min_size=1, max_size=40))
     def check(texts):
         df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("c", T.basic_clean(F.col("t")))
         out = df.select("t", "c", T.char_ngrams(F.col("c")).alias("g"), T.tokens(F.col("c")).alias("k"), T.block_key(F.col("c")).alias("b"), T.postal_code(F.col("c")).alias("p")).collect()
@@ -71,9 +86,43 @@ def test_id_lists(spark):
     assert got == {1: ["a", "b"], 2: [], 3: [], 4: [], 5: []}
 
 
-def test_transliteration_and_prefixes(spark):
-    df = spark.createDataFrame([("स्तोब्रेन्द मिनार्क Ltd",), ("plain",), (None,)], "t string")
-    assert [r[0] for r in df.select(T.romanize_devanagari(F.col("t"))).collect()] == ["stobrend minark ltd", "plain", None]
+def test_other_scripts(spark):
+    same = [
+        ("प्राइवेट लिमिटेड", "praiveta limiteda"),
+        ("প্রাইভেট", "praibheta"),
+        ("ਰਾਮ", "rama"),
+        ("રામ", "rama"),
+        ("ରାମ", "rama"),
+        ("ராம்", "ram"),
+        ("రామ్", "ram"),
+        ("ರಾಮ್", "ram"),
+        ("രാമ്", "ram"),
+        ("ООО Жёлтый Ёж", "ooo zheltyi ezh"),
+        ("ΟΔΌΣ Ψυχή", "odos psukhe"),
+        ("१२३ Road", "123 road"),
+        ("東京 株式会社", "東京 株式会社"),
+        ("Cafe\u0301", "cafe"),
+        ("plain", "plain"),
+        (None, ""),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(same)], "i int, t string")
+    assert [r[0] for r in df.orderBy("i").select(T.basic_clean(F.col("t"))).collect()] == [w for _, w in same]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE x (i INT, t VARCHAR)")
+    con.executemany("INSERT INTO x VALUES (?, ?)", [(i, t) for i, (t, _) in enumerate(same)])
+    assert [r[0] for r in con.execute(f"SELECT {T.sql_clean('t')} FROM x ORDER BY i").fetchall()] == [w for _, w in same]
+
+
+def test_names_in_several_scripts_are_candidates(spark):
+    schema = "entity_id string, business_name string, business_address string, country string"
+    left = spark.createDataFrame([("S1-1", "राम Foods", None, "IN"), ("S1-2", "Жёлтый", None, "IN"), ("S1-3", "東京", None, "IN")], schema)
+    right = spark.createDataFrame([("S2-1", "રામ", None, "IN"), ("S2-2", "Zheltyi", None, "IN"), ("S2-3", "東京", None, "IN"), ("S2-4", "Other", None, "IN")], schema)
+    s1, ref = prepared_tables(left, {"S2": right}, T.prepare)
+    got = {(r["source1_entity_id"], r["candidate_entity_id"]) for r in token_pairs(s1, ref, min_len=2).collect()}
+    assert got == {("S1-1", "S2-1"), ("S1-2", "S2-2"), ("S1-3", "S2-3")}
+
+
+def test_prefixes():
     assert T.default_prefixes("intfloat/multilingual-e5-small") == ("query: ", "passage: ")
     assert T.default_prefixes("LaBSE") == ("", "")
 
