@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -71,3 +72,14 @@ def test_pair_features(spark):
     assert blank["name_token_jaccard"] == 1.0 and blank["name_token_set"] == 0.0 and blank["name_exact"] == 0.0 and blank["country_match"] == 1.0 and blank["name_levenshtein"] == 1.0
     truth = spark.createDataFrame([("S1-1", "S2-1")], "s1_id string, cand_id string")
     assert {(r["source1_entity_id"], r["label"]) for r in with_labels(pairs.where("candidate_entity_id <> 'S2-404'"), truth).collect()} == {("S1-1", 1), ("S1-2", 0)}
+
+
+def test_batches_equal_single_pairs():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcde é東") for _ in range(rng.choice([0, 1, 3, 8, 20, 63, 64, 65, 90])))
+    x = [word() for _ in range(400)]
+    y = [rng.choice([word(), x[i], x[i][::-1], x[i][1:] + "z"]) for i in range(400)]
+    for many, one in ((Z.lcs_lengths, Z.lcs_length), (Z.ratios, Z.ratio), (Z.token_set_ratios, Z.token_set_ratio), (Z.partial_ratios, Z.partial_ratio)):
+        got = many(x, y)
+        assert max(abs(g - one(p, q)) for g, p, q in zip(got, x, y, strict=True)) < 1e-12, one.__name__
+        assert len(many([], [])) == 0
