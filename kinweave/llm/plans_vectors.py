@@ -16,7 +16,8 @@ def p3_similar(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    close = similar(read_table(spark, d, "name_vectors"), k=10, min_cosine=0.95)
+    # so close vectors lie near one another in any shard: a narrow margin and beam find them
+    close = similar(read_table(spark, d, "name_vectors"), k=10, min_cosine=0.95, margin=0.1, beam=16)
     return close.select(F.least("id", "other").alias("entity_id_a"), F.greatest("id", "other").alias("entity_id_b")).distinct()
 
 

@@ -43,7 +43,7 @@ def usable(vec: str, dim: int) -> Column:
 
 
 def similar(
-    df: DataFrame, k: int = 10, min_cosine: float | None = None, id_col: str = "entity_id", vec_col: str = "vec", shard_size: int = 12_000, sample_size: int = 20_000, margin: float | None = 0.1, beam: int = 16, asks: Column | None = None
+    df: DataFrame, k: int = 10, min_cosine: float | None = None, id_col: str = "entity_id", vec_col: str = "vec", shard_size: int = 12_000, sample_size: int = 20_000, margin: float | None = 0.25, beam: int = 40, asks: Column | None = None
 ) -> DataFrame:
     """(id, other, cosine, rank): for each id the k most similar other ids found, best first, ties by the smaller other id.
 
