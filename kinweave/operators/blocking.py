@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kinweave.operators.neighbours import pairs_within
@@ -77,13 +78,18 @@ def token_pairs(s1: DataFrame, ref: DataFrame, column: str = "name_core", cap: i
     return _pairs(summed, F.least(F.lit(1.0), F.col("s")))
 
 
-def neighbourhood_pairs(s1: DataFrame, ref: DataFrame, column: str, window: int = 40) -> DataFrame:
-    """Pairs of opposite sides at most window rows apart in the order of column within their source and country, scored 1 / distance. Ties: left records first, then by id."""
+def neighbourhood_pairs(s1: DataFrame, ref: DataFrame, column: str, window: int = 40, floors: DataFrame | None = None) -> DataFrame:
+    """Pairs of opposite sides at most window rows apart in the order of column within their source and country, scored 1 / distance. Ties: left records first, then by id. Pairs below the floors (src, country, left_id, floor) of their left records may be left out."""
     sides = s1.select("country", F.col("entity_id").alias("id"), F.col(column).alias("key")).withColumn("side", F.lit(0))
     # left records stand in the order of every source once
     left = sides.withColumn("src", F.explode(F.array(*[F.lit(r["src"]) for r in ref.select("src").distinct().collect()]).cast("array<string>")))
     right = ref.select("country", F.col("entity_id").alias("id"), F.col(column).alias("key"), F.lit(1).alias("side"), "src")
-    near = pairs_within(left.unionByName(right), KEYS, "key", "side", "id", window)
+    if floors is not None:
+        # one more than the inverse, so that rounded scores don't matter
+        far = F.ceil(1.0 / F.col("floor")) + 1
+        left = left.join(floors.select(*KEYS, F.col("left_id").alias("id"), far.alias("reach")), [*KEYS, "id"], "left")
+        right = right.withColumn("reach", F.lit(None).cast("long"))
+    near = pairs_within(left.unionByName(right), KEYS, "key", "side", "id", window, reach="reach" if floors is not None else None)
     return _pairs(near, 1.0 / F.col("distance"))
 
 
@@ -107,11 +113,70 @@ def partitioned(df: DataFrame, same_country_only: bool) -> DataFrame:
     return df if same_country_only else df.withColumn("country", F.lit("*"))
 
 
+def key_lists(right: DataFrame, by: list[str], k: int) -> DataFrame:
+    """(by, n, ids): how many ids each key of (by, right_id) has, and the k smallest of them."""
+    key = W.partitionBy(*by)
+    ranked = right.distinct().select(*by, "right_id", F.count("*").over(key).alias("n"), F.row_number().over(key.orderBy("right_id")).alias("_rank")).where(F.col("_rank") <= k)
+    return ranked.groupBy(*by).agg(F.first("n").alias("n"), F.collect_list(F.struct("right_id")).alias("ids"))
+
+
+def token_couples(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(left_id, right_id, src, country, s): pairs that share two tokens or more of (src, country, id, key, m) and (..., w), s the sum of m w over all they share."""
+
+    def couples(t: DataFrame, id_col: str, value: str) -> DataFrame:
+        held = t.groupBy(*KEYS, id_col).agg(F.collect_list(F.struct("key", value)).alias("held")).where(F.size("held") > 1)
+        first = held.select(*KEYS, id_col, "held", F.explode("held").alias("x"))
+        both = first.select(*KEYS, id_col, "x", F.explode(F.filter("held", lambda y: y["key"] > F.col("x.key"))).alias("y"))
+        return both.select(*KEYS, id_col, F.col("x.key").alias("key1"), F.col("y.key").alias("key2"), F.col(f"x.{value}").alias(f"{value}1"), F.col(f"y.{value}").alias(f"{value}2"))
+
+    met = couples(left, "left_id", "m").hint("merge").join(couples(right, "right_id", "w").hint("merge"), [*KEYS, "key1", "key2"])
+    # j shared tokens make n = j (j - 1) / 2 couples, and each token is in j - 1 of them
+    summed = met.groupBy("left_id", "right_id", *KEYS).agg(F.sum(F.col("m1") * F.col("w1") + F.col("m2") * F.col("w2")).alias("s"), F.count("*").alias("n"))
+    others = (F.sqrt(1.0 + 8.0 * F.col("n")) - 1.0) / 2.0
+    return summed.select("left_id", "right_id", *KEYS, (F.col("s") / F.round(others)).alias("s"))
+
+
+def leading_pairs(s1: DataFrame, ref: DataFrame, config: BlockingConfig, digits: int | None = None) -> DataFrame:
+    """(source1_entity_id, candidate_entity_id, source, country, blocking_score): of the pairs of all signals those that can be among the top_k of their left record in a source and country.
+
+    A reference record that shares one key of a kind with a left record (a block key, a postal code, a token so many times) ties
+    with all that share it alike; top_k of them with smaller ids leave no place for it. So a key's list of its top_k smallest ids is enough; records
+    that share several tokens are found by couples of tokens. The best score that top_k records of one list reach is the left
+    record's floor, below which no pair of any signal is among its top_k. Lists stay lists until all that a left record has is in one task.
+    """
+    k, cap = config.top_k, config.max_group_size
+    score = lambda s: F.round(F.least(F.lit(1.0), s), digits) if digits is not None else F.least(F.lit(1.0), s)
+    weights = token_weights(ref, "name_core", cap, config.min_token_len).select(*KEYS, "key", "weight")
+    words = cut(_tokens(ref, "name_core", config.min_token_len, KEYS).join(weights, [*KEYS, "key"]).select(*KEYS, "key", F.col("entity_id").alias("right_id"), (F.col("m") * F.col("weight")).alias("w")))
+    own_words = cut(_tokens(s1, "name_core", config.min_token_len, ["country"]).select("country", "key", F.col("entity_id").alias("left_id"), "m"))
+    rights, lefts = [words.withColumn("kind", F.lit("token"))], [own_words.withColumn("kind", F.lit("token"))]
+    for kind, worth in (("block_key", 1.0), ("postal", 0.9)):
+        ok = allowed_keys(ref, kind, cap).select(*KEYS, "key")
+        right = ref.select(*KEYS, F.col("entity_id").alias("right_id"), F.col(kind).alias("key")).join(ok, [*KEYS, "key"], "left_semi")
+        rights.append(right.withColumns({"w": F.lit(worth), "kind": F.lit(kind)}))
+        lefts.append(s1.where(F.col(kind) != "").select("country", F.col("entity_id").alias("left_id"), F.col(kind).alias("key"), F.lit(1).cast("long").alias("m"), F.lit(kind).alias("kind")).distinct())
+    group = [*KEYS, "kind", "key", "w"]
+    lists = cut(key_lists(union_all(rights), group, k))
+    shared = union_all(lefts).join(lists.drop("ids"), ["country", "kind", "key"]).select(*group, "left_id", "n", score(F.col("m") * F.col("w")).alias("score"))
+    floors = cut(shared.where(F.col("n") >= k).groupBy(*KEYS, "left_id").agg(F.max("score").alias("floor")))
+    above = lambda pairs: pairs.join(floors, [*KEYS, "left_id"], "left").where(F.col("score") >= F.coalesce("floor", F.lit(0.0)))
+    listed = above(shared).select(*group, "left_id", "score").hint("merge").join(lists.select(*group, "ids").hint("merge"), group)
+    known = own_words.join(words.select(*KEYS, "key").distinct(), ["country", "key"])
+    couples = above(token_couples(known, words).withColumn("score", score(F.col("s"))))
+    parts = [listed.select("left_id", *KEYS, "score", "ids")]
+    one = F.array(F.struct("right_id")).alias("ids")
+    parts.append(couples.select("left_id", *KEYS, "score", one))
+    for column in ("name_core", "name_core_rev", "addr_norm"):
+        near = neighbourhood_pairs(s1, ref, column, config.window, floors)
+        parts.append(near.select(F.col("source1_entity_id").alias("left_id"), F.col("candidate_entity_id").alias("right_id"), F.col("source").alias("src"), "country", score(F.col("blocking_score")).alias("score")).select("left_id", *KEYS, "score", one))
+    met = union_all(parts).repartition("left_id", *KEYS)
+    return met.select(F.col("left_id").alias("source1_entity_id"), F.explode("ids").alias("_c"), F.col("src").alias("source"), "country", F.col("score").alias("blocking_score")).select("source1_entity_id", F.col("_c.right_id").alias("candidate_entity_id"), "source", "country", "blocking_score")
+
+
 def generate_candidates(s1: DataFrame, ref: DataFrame, config: BlockingConfig = BlockingConfig(), digits: int | None = None) -> DataFrame:
     """(source1_entity_id, candidate_entity_id, source, blocking_score): the best candidates of every left record in each source, over all signals."""
     s1, ref = partitioned(s1, config.same_country_only), partitioned(ref, config.same_country_only)
-    pairs = union_all(list(signal_pairs(s1, ref, config).values()))
-    return cap_per_source(pairs, config.top_k, digits).drop("country")
+    return cap_per_source(leading_pairs(s1, ref, config, digits), config.top_k, digits).drop("country")
 
 
 def prepared_tables(s1: DataFrame, others: dict[str, DataFrame], prepare) -> tuple[DataFrame, DataFrame]:

@@ -50,15 +50,16 @@ def in_blocks(df: DataFrame, order: list[str], window: int, compare: Callable[[p
     return dealt.groupBy("_block").applyInPandas(run, schema)
 
 
-def pairs_within(df: DataFrame, group: list[str], key: str, side: str, id_col: str, window: int, left_side: int = 0) -> DataFrame:
+def pairs_within(df: DataFrame, group: list[str], key: str, side: str, id_col: str, window: int, left_side: int = 0, reach: str | None = None) -> DataFrame:
     """(group, left id, right id, distance): rows of opposite sides at most window positions apart in their group's order (key, side, id).
 
-    Joined by equal buckets of window positions and the next bucket, inside the JVM.
+    Left rows are joined with the right rows of their own bucket of window positions and of both beside it, inside the JVM. A column
+    reach gives the distance up to which a left row's pairs are wanted, null for all.
     """
-    placed = positions(df.select(*group, key, side, id_col), [*group, key, side, id_col]).withColumn("_b", F.floor(F.col("pos") / window))
-    a = placed.select(*group, F.col(side).alias("_s1"), F.col(id_col).alias("_i1"), F.col("pos").alias("_p1"), F.explode(F.array("_b", F.col("_b") + 1)).alias("_b"))
-    b = placed.select(*group, F.col(side).alias("_s2"), F.col(id_col).alias("_i2"), F.col("pos").alias("_p2"), "_b")
-    d = F.col("_p2") - F.col("_p1")
-    hit = a.join(b, [*group, "_b"]).where((d > 0) & (d <= window) & (F.col("_s1") != F.col("_s2")))
-    first = F.col("_s1") == left_side
-    return hit.select(*group, F.when(first, F.col("_i1")).otherwise(F.col("_i2")).alias("left_id"), F.when(first, F.col("_i2")).otherwise(F.col("_i1")).alias("right_id"), d.alias("distance"))
+    placed = positions(df.select(*group, key, side, id_col, *([reach] if reach else [])), [*group, key, side, id_col])
+    bucket = F.floor(F.col("pos") / window)
+    far = F.coalesce(F.col(reach), F.lit(window)) if reach else F.lit(window)
+    a = placed.where(F.col(side) == left_side).select(*group, F.col(id_col).alias("left_id"), F.col("pos").alias("_p1"), far.alias("_far"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("_b"))
+    b = placed.where(F.col(side) != left_side).select(*group, F.col(id_col).alias("right_id"), F.col("pos").alias("_p2"), bucket.alias("_b"))
+    d = F.abs(F.col("_p2") - F.col("_p1"))
+    return a.join(b, [*group, "_b"]).where((d <= window) & (d <= F.col("_far"))).select(*group, "left_id", "right_id", d.alias("distance"))
