@@ -212,7 +212,7 @@ class Index:
         """(item number, text number, words of the longest run, its edits) for every pair that counts."""
         f = Folded(texts)
         most = int(self.size.max()) if len(self.size) else 0
-        hits: dict[str, list[np.ndarray]] = {"item": [], "text": [], "band": [], "place": [], "at": []}
+        hits: dict[str, list[np.ndarray]] = {"pair": [], "place": [], "at": []}
         for q, (keys, first, count, items, places, flags) in self.grams.items():
             for lo in range(0, max(1, len(f.codes)), STRETCH):
                 h = gram_hashes(f.codes[lo : lo + STRETCH + q - 1], q)
@@ -224,22 +224,19 @@ class Index:
                 whole = at + q <= f.bounds[text + 1]
                 at, where, text = at[whole], where[whole], text[whole]
                 n = count[where]
-                at, text = np.repeat(at, n), np.repeat(text, n)
-                within = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 post = np.repeat(first[where], n) + within
-                item = items[post]
-                diagonal = at - f.bounds[text] - places[post] + most
-                hits["item"].append(item)
-                hits["text"].append(text)
-                hits["band"].append(diagonal // self.width[item])
+                hits["pair"].append(items[post] * len(texts) + np.repeat(text, n))
                 hits["place"].append(places[post])
-                hits["at"].append(at)
-        item, text, band, place, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in hits.values())
-        if not len(item):
+                hits["at"].append(np.repeat(at, n))
+        pair, place, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in hits.values())
+        # most pairs share too few q-grams whatever their order: these are never sorted
+        enough = self.met_often(pair, len(texts))
+        pair, place, at = pair[enough], place[enough], at[enough]
+        if not len(pair):
             return
-        pair = item * len(texts) + text
-        order = np.lexsort((at, pair))
-        pair, band, place, at = pair[order], band[order], place[order], at[order]
+        order = np.argsort(pair * (len(f.codes) + 1) + at)
+        pair, place, at = pair[order], place[order], at[order]
         item = pair // len(texts)
         # hits of one pair are parted where a run could not hold so many words without one: its edits, each with a rest of fewer than q letters beside it
         word = f.word_of[at].astype(np.int64)
@@ -249,17 +246,19 @@ class Index:
         end = np.append(start[1:], len(pair))
         cluster, item = np.cumsum(apart) - 1, item[start]
         # a passage q-gram that comes again counts once
-        once = np.lexsort((place, cluster))
-        distinct = np.add.reduceat(np.append(True, (cluster[once][1:] != cluster[once][:-1]) | (place[once][1:] != place[once][:-1])), start, dtype=np.int64)
+        once = np.sort(cluster * (most + 1) + place)
+        distinct = np.add.reduceat(np.append(True, once[1:] != once[:-1]), start, dtype=np.int64)
         some = np.flatnonzero((distinct >= self.bound[item])[cluster])
         if not len(some):
             return
-        by = some[np.lexsort((band[some], cluster[some]))]
+        band = (at[some] - f.bounds[pair[some] % len(texts)] - place[some] + most) // self.width[item[cluster[some]]]
+        by = np.lexsort((band, cluster[some]))
+        of, band = cluster[some][by], band[by]
         new = np.ones(len(by), bool)
-        new[1:] = (cluster[by][1:] != cluster[by][:-1]) | (band[by][1:] != band[by][:-1])
+        new[1:] = (of[1:] != of[:-1]) | (band[1:] != band[:-1])
         head = np.flatnonzero(new)
         n = np.diff(np.append(head, len(by)))
-        banded, number = cluster[by][head], band[by][head]
+        banded, number = of[head], band[head]
         # overlapping bands: each counts its own hits and the next band's
         beside = np.zeros(len(n), np.int64)
         follows = (banded[1:] == banded[:-1]) & (number[1:] == number[:-1] + 1)
@@ -271,7 +270,8 @@ class Index:
         rank = np.arange(len(banded)) - np.repeat(first, np.diff(np.append(first, len(banded))))
         held = np.add.reduceat(np.where(rank <= self.edits[item[banded]], total, 0), first)
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for c in banded[first][held >= self.bound[item[banded[first]]]].tolist():
+        likely = banded[first][held >= self.bound[item[banded[first]]]]
+        for c in likely[self.may_hold(item[likely], [place[start[c] : end[c]] for c in likely.tolist()])].tolist():
             k, t = divmod(int(pair[start[c]]), len(texts))
             got = self.verify(f, k, int(f.bounds[t]), int(f.bounds[t + 1]), at[start[c] : end[c]], place[start[c] : end[c]])
             if got and got > best.get((k, t), (0, 0)):
@@ -281,29 +281,50 @@ class Index:
 
     def verify(self, f: Folded, k: int, start: int, end: int, at: np.ndarray, place: np.ndarray) -> tuple[int, int] | None:
         """(words, edits) of the longest run of item k among hits (text and passage positions, in text order) of the text of letters start to end."""
-        if not self.may_hold(k, place):
-            return None
         first, last = int(f.word_of[at[0]]), int(f.word_of[at[-1]])
         bare = int(self.bare[k])
         lo = max(start, int(f.word_at[max(0, first - bare)]))
         hi = min(end, int(f.word_at[min(len(f.word_at) - 1, last + self.q[k] + bare)]))
         return run_in(self.words[k], f.words(lo, hi), self.share, self.rate, (at - lo, np.searchsorted(self.word_at[k], place, side="right") - 1), int(self.bound[k]))
 
-    def may_hold(self, k: int, places: np.ndarray) -> bool:
-        """Whether the passage positions hit leave some run of item k that can count."""
-        q, word_at = self.q[k], self.word_at[k]
-        seen = np.zeros(int(word_at[-1]) + 1, np.int32)
-        seen[places + 1] = 1
-        upto = np.cumsum(seen)
-        start, end = upto[word_at[:-1]], upto[np.maximum(word_at - q + 1, 0)]
-        m = len(start)
+    def met_often(self, pair: np.ndarray, n_texts: int) -> np.ndarray:
+        """Numbers of the hits whose pair (item number times n_texts plus text number) has as many hits as its item's bound; of pairs counted together by the same low bits, all."""
+        low = pair & ((1 << FLAG_BITS) - 1)
+        n = np.bincount(low, minlength=1)
+        some = np.flatnonzero((n >= self.bound.min())[low])
+        return some[n[low[some]] >= self.bound[pair[some] // n_texts]]
+
+    def may_hold(self, items: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
+        """Of each item number, whether the passage positions hit leave some run of that item that can count."""
+        out = np.zeros(len(items), bool)
+        for k in np.unique(items).tolist():
+            mine = np.flatnonzero(items == k)
+            # so many at once that their tables have about a million cells
+            step = max(1, 1_000_000 // (len(self.words[k]) + 1) ** 2)
+            for lo in range(0, len(mine), step):
+                some = mine[lo : lo + step]
+                out[some] = self.may_hold_one(k, [places[c] for c in some.tolist()])
+        return out
+
+    def may_hold_one(self, k: int, places: list[np.ndarray]) -> np.ndarray:
+        """may_hold of clusters of one item."""
+        q, word_at, least = self.q[k], self.word_at[k], self.lack[k]
+        seen = np.zeros((len(places), int(word_at[-1]) + 1), np.int32)
+        seen[np.repeat(np.arange(len(places)), [len(p) for p in places]), np.concatenate(places) + 1] = 1
+        upto = np.cumsum(seen, axis=1)
+        start, end = upto[:, word_at[:-1]], upto[:, np.maximum(word_at - q + 1, 0)]
+        m = start.shape[1]
         # what a run from word i to word j keeps, less its letters, against what its length allows it to lack
         head, tail = start - word_at[:-1], end - word_at
         if m <= 512 and self.bound[k] > 1:
-            table = np.lib.stride_tricks.sliding_window_view(np.append(tail, np.full(m, -(1 << 40))), m + 1)[:m]
-            return bool((table - head[:, None] >= self.lack[k][None]).any())
-        least = self.lack[k]
-        return any(bool(((tail[n:] - head[: m - n + 1] >= least[n]) & (end[n:] > start[: m - n + 1])).any()) for n in range(1, m + 1) if least[n] < 1 << 40)
+            padded = np.concatenate([tail, np.full((len(places), m), -(1 << 40))], axis=1)
+            table = np.lib.stride_tricks.sliding_window_view(padded, m + 1, axis=1)[:, :m]
+            return (table - head[:, :, None] >= least).any(axis=(1, 2))
+        out = np.zeros(len(places), bool)
+        for n in range(1, m + 1):
+            if least[n] < 1 << 40:
+                out |= ((tail[:, n:] - head[:, : m - n + 1] >= least[n]) & (end[:, n:] > start[:, : m - n + 1])).any(axis=1)
+        return out
 
 
 def regrouped(passage: list[str], text: list[str]) -> tuple[list[str], np.ndarray]:

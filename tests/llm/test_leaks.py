@@ -155,3 +155,27 @@ def test_letters_above_the_first_plane_and_long_passages():
     text = passage(rng, 100) + p[1000:4000] + passage(rng, 100)
     got = list(L.Index([(1, " ".join(p))], 0.4, 0.1).scan([" ".join(text)]))
     assert got and got[0][2] >= 3000
+
+
+def test_pairs_that_share_too_little_are_not_sorted(monkeypatch):
+    rng = random.Random(12)
+    # items that share a stock phrase with every text, which alone is no case for any
+    stock = passage(rng, 6)
+    items = [(k, " ".join(passage(rng, 30) + stock + passage(rng, 20))) for k in range(40)]
+    texts = [" ".join(passage(rng, 50) + stock + passage(rng, 50)) for _ in range(30)]
+    texts.append(" ".join(passage(rng, 20) + items[7][1].split()[5:40] + passage(rng, 20)))
+    index = L.Index(items, 0.4, 0.1)
+    asked = []
+    may_hold = L.Index.may_hold
+    monkeypatch.setattr(L.Index, "may_hold", lambda self, k, places: asked.append(len(k)) or may_hold(self, k, places))
+    sizes = []
+    sort = np.argsort
+    monkeypatch.setattr(L.np, "argsort", lambda x, *a, **kw: sizes.append(len(x)) or sort(x, *a, **kw))
+    assert [(k, t, n) for k, t, n, _ in index.scan(texts)] == [(7, 30, 35)]
+    # of the hits of the stock phrase in 40 x 31 pairs next to none is put in order
+    assert sizes and max(sizes) < 40 * 31 and sum(asked) < 40
+    # the clusters of one item are asked at once and each on its own
+    places = [rng.sample(range(150), n) for n in (2, 40, 150, 149)] + [list(range(60, 200)), list(range(0, 120, 3))]
+    places = [np.sort(np.array(p)) for p in places]
+    both = index.may_hold(np.full(len(places), 7), places)
+    assert both.tolist() == [bool(index.may_hold(np.array([7]), [p])[0]) for p in places] and both.any() and not both.all()
