@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kinweave.operators.neighbours import pairs_within
-from kinweave.operators.topk import cap_per_source
+from kinweave.operators.neighbours import lists_within, pairs_within
+from kinweave.operators.topk import best_of_lists
 from kinweave.session import cut, union_all
 
 KEYS = ["src", "country"]
@@ -78,21 +78,29 @@ def token_pairs(s1: DataFrame, ref: DataFrame, column: str = "name_core", cap: i
     return _pairs(summed, F.least(F.lit(1.0), F.col("s")))
 
 
-def neighbourhood_pairs(s1: DataFrame, ref: DataFrame, column: str, window: int = 40, floors: DataFrame | None = None) -> DataFrame:
-    """Pairs of opposite sides at most window rows apart in the order of column within their source and country, scored 1 / distance. Ties: left records first, then by id. Pairs below the floors (src, country, left_id, floor) of their left records may be left out."""
+def _in_order(s1: DataFrame, ref: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     sides = s1.select("country", F.col("entity_id").alias("id"), F.col(column).alias("key")).withColumn("side", F.lit(0))
     # left records stand in the order of every source once
     left = sides.withColumn("src", F.explode(F.array(*[F.lit(r["src"]) for r in ref.select("src").distinct().collect()]).cast("array<string>")))
-    right = ref.select("country", F.col("entity_id").alias("id"), F.col(column).alias("key"), F.lit(1).alias("side"), "src")
-    if floors is not None:
-        # one more than the inverse, so that rounded scores don't matter
-        far = F.ceil(1.0 / F.col("floor")) + 1
-        left = left.join(floors.select(*KEYS, F.col("left_id").alias("id"), far.alias("reach")), [*KEYS, "id"], "left")
-        right = right.withColumn("reach", F.lit(None).cast("long"))
-    near = pairs_within(left.unionByName(right), KEYS, "key", "side", "id", window, reach="reach" if floors is not None else None)
+    return left, ref.select("country", F.col("entity_id").alias("id"), F.col(column).alias("key"), F.lit(1).alias("side"), "src")
+
+
+def neighbourhood_pairs(s1: DataFrame, ref: DataFrame, column: str, window: int = 40) -> DataFrame:
+    """Pairs of opposite sides at most window rows apart in the order of column within their source and country, scored 1 / distance. Ties: left records first, then by id."""
+    left, right = _in_order(s1, ref, column)
+    near = pairs_within(left.unionByName(right), KEYS, "key", "side", "id", window)
     return _pairs(near, 1.0 / F.col("distance"))
 
 
+def neighbourhood_lists(s1: DataFrame, ref: DataFrame, column: str, worth: list[float], floors: DataFrame) -> DataFrame:
+    """(src, country, left_id, items): the pairs of neighbourhood_pairs as lists of (right_id, below), below the negative worth of their distance. Pairs below the floors (src, country, left_id, floor) of their left records may be left out."""
+    left, right = _in_order(s1, ref, column)
+    # one more than the inverse, so that rounded scores don't matter
+    far = F.ceil(1.0 / F.col("floor")) + 1
+    left = left.join(floors.select(*KEYS, F.col("left_id").alias("id"), far.alias("reach")), [*KEYS, "id"], "left")
+    return lists_within(left.unionByName(right.withColumn("reach", F.lit(None).cast("long"))), KEYS, "key", "side", "id", worth, reach="reach")
+
+
 SIGNALS = ["block_key", "postal", "token", "neighbours_name", "neighbours_reversed", "neighbours_address"]
 
 
@@ -136,8 +144,8 @@ def token_couples(left: DataFrame, right: DataFrame) -> DataFrame:
     return summed.select("left_id", "right_id", *KEYS, (F.col("s") / F.round(others)).alias("s"))
 
 
-def leading_pairs(s1: DataFrame, ref: DataFrame, config: BlockingConfig, digits: int | None = None) -> DataFrame:
-    """(source1_entity_id, candidate_entity_id, source, country, blocking_score): of the pairs of all signals those that can be among the top_k of their left record in a source and country.
+def leading_lists(s1: DataFrame, ref: DataFrame, config: BlockingConfig, digits: int | None = None) -> DataFrame:
+    """(left_id, src, country, items): of the pairs of all signals those that can be among the top_k of their left record in a source and country, as lists of (right_id, below), below the negative score.
 
     A reference record that shares one key of a kind with a left record (a block key, a postal code, a token so many times) ties
     with all that share it alike; top_k of them with smaller ids leave no place for it. So a key's list of its top_k smallest ids is enough; records
@@ -163,20 +171,29 @@ def leading_pairs(s1: DataFrame, ref: DataFrame, config: BlockingConfig, digits:
     listed = above(shared).select(*group, "left_id", "score").hint("merge").join(lists.select(*group, "ids").hint("merge"), group)
     known = own_words.join(words.select(*KEYS, "key").distinct(), ["country", "key"])
     couples = above(token_couples(known, words).withColumn("score", score(F.col("s"))))
-    parts = [listed.select("left_id", *KEYS, "score", "ids")]
-    one = F.array(F.struct("right_id")).alias("ids")
-    parts.append(couples.select("left_id", *KEYS, "score", one))
+    item = lambda x, s: F.struct(x["right_id"].alias("right_id"), (-s).alias("below"))
+    parts = [
+        listed.select("left_id", *KEYS, F.transform("ids", lambda x: item(x, F.col("score"))).alias("items")),
+        couples.select("left_id", *KEYS, F.array(item(F.struct("right_id"), F.col("score"))).alias("items")),
+    ]
+    # the score of each distance, rounded as all others are
+    worth = s1.sparkSession.range(1).select(F.array(*[score(F.lit(1.0) / F.lit(d)) for d in range(1, config.window + 1)])).first()[0]
     for column in ("name_core", "name_core_rev", "addr_norm"):
-        near = neighbourhood_pairs(s1, ref, column, config.window, floors)
-        parts.append(near.select(F.col("source1_entity_id").alias("left_id"), F.col("candidate_entity_id").alias("right_id"), F.col("source").alias("src"), "country", score(F.col("blocking_score")).alias("score")).select("left_id", *KEYS, "score", one))
-    met = union_all(parts).repartition("left_id", *KEYS)
-    return met.select(F.col("left_id").alias("source1_entity_id"), F.explode("ids").alias("_c"), F.col("src").alias("source"), "country", F.col("score").alias("blocking_score")).select("source1_entity_id", F.col("_c.right_id").alias("candidate_entity_id"), "source", "country", "blocking_score")
+        parts.append(neighbourhood_lists(s1, ref, column, worth, floors).select("left_id", *KEYS, "items"))
+    return union_all(parts)
+
+
+def leading_pairs(s1: DataFrame, ref: DataFrame, config: BlockingConfig, digits: int | None = None) -> DataFrame:
+    """(source1_entity_id, candidate_entity_id, source, country, blocking_score): the pairs of leading_lists."""
+    met = leading_lists(s1, ref, config, digits).select("left_id", *KEYS, F.explode("items").alias("_c"))
+    return _pairs(met.select("left_id", "_c.right_id", *KEYS, "_c.below"), -F.col("below"))
 
 
 def generate_candidates(s1: DataFrame, ref: DataFrame, config: BlockingConfig = BlockingConfig(), digits: int | None = None) -> DataFrame:
     """(source1_entity_id, candidate_entity_id, source, blocking_score): the best candidates of every left record in each source, over all signals."""
     s1, ref = partitioned(s1, config.same_country_only), partitioned(ref, config.same_country_only)
-    return cap_per_source(leading_pairs(s1, ref, config, digits), config.top_k, digits).drop("country")
+    best = best_of_lists(leading_lists(s1, ref, config, digits), ["left_id", *KEYS], config.top_k)
+    return _pairs(best, F.col("score")).drop("country")
 
 
 def prepared_tables(s1: DataFrame, others: dict[str, DataFrame], prepare) -> tuple[DataFrame, DataFrame]:

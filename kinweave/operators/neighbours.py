@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,3 +66,42 @@ def pairs_within(df: DataFrame, group: list[str], key: str, side: str, id_col: s
     b = placed.where(F.col(side) != left_side).select(*group, F.col(id_col).alias("right_id"), F.col("pos").alias("_p2"), bucket.alias("_b"))
     d = F.abs(F.col("_p2") - F.col("_p1"))
     return a.join(b, [*group, "_b"]).where((d <= window) & (d <= F.col("_far"))).select(*group, "left_id", "right_id", d.alias("distance"))
+
+
+def lists_within(df: DataFrame, group: list[str], key: str, side: str, id_col: str, worth: list[float], left_side: int = 0, reach: str | None = None, block: int = 4000) -> DataFrame:
+    """(group, left_id, items): the pairs of pairs_within in a window of len(worth) as one list of (right_id, below) for each left row that has any, below the negative worth of the distance.
+
+    Done by blocks of positions that overlap by the window, on Arrow: a left row's neighbours are one stretch of its block's right rows.
+    """
+    window = len(worth)
+    block = max(block, 4 * window)
+    placed = positions(df.select(*group, key, side, id_col, *([reach] if reach else [])), [*group, key, side, id_col])
+    far = F.least(F.coalesce(F.col(reach), F.lit(window)), F.lit(window)) if reach else F.lit(window)
+    to = F.explode(F.sequence(F.floor((F.col("pos") - window) / block), F.floor((F.col("pos") + window) / block)))
+    known = reduce(lambda a, b: a & b, [F.col(g).isNotNull() for g in group])
+    dealt = placed.where(known).select(*group, (F.col(side) == left_side).alias("_left"), F.col(id_col).alias("_id"), "pos", far.cast("long").alias("_far"), to.alias("_b"))
+    below = -np.array([0.0, *worth])
+
+    def near(t: pa.Table) -> pa.Table:
+        t = t.sort_by("pos").combine_chunks()
+        pos, left, far = (t[c].to_numpy() for c in ("pos", "_left", "_far"))
+        # a group's rows stand together: where each row's group begins and ends
+        codes = [t[g].combine_chunks().dictionary_encode().indices.to_numpy() for g in group]
+        new = np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in codes]))
+        start, of = np.flatnonzero(new), np.cumsum(new) - 1
+        begin, end = pos[start][of], pos[np.append(start[1:], len(pos)) - 1][of]
+        rights = np.flatnonzero(~left)
+        own = np.flatnonzero(left & (pos // block == t["_b"][0].as_py()))
+        lo = np.searchsorted(pos[rights], np.maximum(pos[own] - far[own], begin[own]))
+        n = np.maximum(np.searchsorted(pos[rights], np.minimum(pos[own] + far[own], end[own]), side="right") - lo, 0)
+        own, lo, n = own[n > 0], lo[n > 0], n[n > 0]
+        upto = np.append(0, np.cumsum(n))
+        met = rights[np.repeat(lo - upto[:-1], n) + np.arange(upto[-1])]
+        distance = np.abs(pos[met] - np.repeat(pos[own], n))
+        items = pa.StructArray.from_arrays([t["_id"].combine_chunks().take(pa.array(met)), pa.array(below[distance])], names=["right_id", "below"])
+        mine = t.take(pa.array(own))
+        return pa.table([*(mine[g] for g in group), mine["_id"], pa.ListArray.from_arrays(pa.array(upto, pa.int32()), items)], names=[*group, "left_id", "items"])
+
+    types = dict(placed.dtypes)
+    fields = [*(f"{g} {types[g]}" for g in group), f"left_id {types[id_col]}", f"items array<struct<right_id: {types[id_col]}, below: double>>"]
+    return dealt.repartition(partitions(df.sparkSession), "_b").groupBy("_b").applyInArrow(near, ", ".join(fields))
